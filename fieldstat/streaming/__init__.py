@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream source, watermark, window or stateful operator:
+every read and write is a batch job. Nothing is built here; the batch
+operators of ``fieldstat.operators`` accept streaming DataFrames where Spark
+allows the same plan (projections, filters, the counter aggregate).
+"""
