@@ -126,7 +126,7 @@ def anova_f(df: DataFrame, cols: Sequence[str], cls: str, digits: int = 1) -> Da
         F.sum(F.col("n") * F.col("m")).alias("S"), F.sum(F.col("n") * F.col("m") * F.col("m")).alias("Q"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("v"), F.lit(0.0))).alias("SSW"))
     ssb = F.col("Q") - F.col("S") * F.col("S") / F.col("N")
-    fval = F.try_divide(ssb / (F.col("k") - 1), F.col("SSW") / (F.col("N") - F.col("k")))
+    fval = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(F.col("SSW"), F.col("N") - F.col("k")))
     return (f.select("feature", F.round(fval, digits).alias("f_value"))
              .orderBy(F.desc_nulls_last("f_value"), "feature"))
 
@@ -173,7 +173,7 @@ def error_pairs(pred: DataFrame, label: str, prediction: str, order: Sequence[st
 def adjacent_error_share(pairs: DataFrame, digits: int = 4) -> DataFrame:
     """Share of all errors that fall between adjacent classes."""
     return pairs.agg(F.sum("n").alias("errors"),
-                     F.round(F.sum(F.when("adjacent", F.col("n")).otherwise(0)) / F.sum("n"), digits)
+                     F.round(F.sum(F.when(F.col("adjacent"), F.col("n")).otherwise(0)) / F.sum("n"), digits)
                       .alias("adjacent_share"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["features", "analysis"]
+_MODULES = ["features", "analysis", "modelling"]
 
 
 def _load():
