@@ -67,9 +67,12 @@ def fold_scaled(train: DataFrame, fold: str, vec: str = "vec") -> tuple[DataFram
     ex = train.select(fold, F.posexplode(vec).alias("pos", "x"))
     per = ex.groupBy(fold, "pos").agg(F.count("x").alias("n"), F.sum("x").alias("s"),
                                       F.sum(F.col("x") * F.col("x")).alias("ss"))
-    tot = per.groupBy("pos").agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"))
+    tot = per.groupBy("pos").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"),
+                                 F.sum("ss").alias("ss_all"))
     c = per.join(tot, "pos")
-    n, s, ss = F.col("N") - F.col("n"), F.col("S") - F.col("s"), F.col("SS") - F.col("ss")
+    n = F.col("n_all") - F.col("n")
+    s = F.col("s_all") - F.col("s")
+    ss = F.col("ss_all") - F.col("ss")
     mean = s / n
     var = (ss - s * s / n) / (n - 1)
     sd = F.sqrt(F.greatest(var, F.lit(0.0)))
@@ -223,28 +226,52 @@ def weighted_f1_by(pred: DataFrame, keys: Sequence[str], label: str = "label",
     return j.groupBy(*keys).agg((F.sum(F.col("n_true") * f1) / F.sum("n_true")).alias("f1"))
 
 
+def _grid_weight(dist: Column, d_next: Column) -> Column:
+    """L12 with the kernel taken from the row's ``kernel`` column (k from ``_k``)."""
+    kern = F.col("kernel")
+    out = None
+    for name in KERNELS:
+        w = kernel_weight(name, dist, d_next, F.col("_k"))
+        out = F.when(kern == name, w) if out is None else out.when(kern == name, w)
+    return out
+
+
 def knn_grid(train: DataFrame, grid: DataFrame, folds: int = 10, fold_col: str = "fold", *,
              id_col: str = "id", vec: str = "vec", label: str = "label",
              levels: Sequence[str] | None = None, block: int = 1024, digits: int = 4) -> DataFrame:
-    """Stratified-fold cross-validation of a (k, distance, kernel) grid in one pass
-    per distance: neighbours up to max k + 1 are found once per (fold, p); every k and
-    kernel is then a filter. Returns the grid with mean, sd and se of weighted F1."""
-    rows = grid.select("k", "distance", "kernel").distinct().collect()   # bounded: the grid
+    """Stratified-fold cross-validation of a (k, distance, kernel) grid.
+
+    Neighbours up to max k + 1 are found once per distance for all folds (the fold is
+    the tile group); each neighbour is then exploded into the grid rows whose k + 1
+    covers its rank, and one aggregate scores every (grid row, fold) at once.
+    Returns the grid with mean, sd and se of the weighted F1 over folds."""
+    rows = grid.select("k", "distance", "kernel").distinct().orderBy("distance", "k", "kernel").collect()
     q, r = fold_scaled(train, fold_col, vec)
     truth = q.select("g", F.col(id_col).cast("long").alias("qid"), F.col(label).cast("string").alias("label"))
-    per_fold = []
+    order = (F.array_position(F.array(*[F.lit(l) for l in levels]), F.col("rlabel")) if levels else F.lit(0))
+    results = []
     for p in sorted({row.distance for row in rows}):
-        kmax = max(row.k for row in rows if row.distance == p)
+        sel = [x for x in rows if x.distance == p]
+        kmax = max(x.k for x in sel)
         nb = neighbours(q, r, kmax + 1, p, id_col=id_col, vec=vec, label=label, group="g", block=block)
-        nb = nb.persist()
-        for row in [x for x in rows if x.distance == p]:
-            sub = nb.where(F.col("rn") <= row.k + 1)
-            v = vote(sub, row.k, row.kernel, levels).join(truth, ["g", "qid"])
-            f = weighted_f1_by(v, ["g"])
-            per_fold.append(f.select(F.lit(row.k).alias("k"), F.lit(float(p)).alias("distance"),
-                                     F.lit(row.kernel).alias("kernel"), "g", "f1"))
+        gl = F.array(*[F.struct(F.lit(i).alias("gid"), F.lit(int(x.k)).alias("_k"), F.lit(x.kernel).alias("kernel"))
+                       for i, x in enumerate(sel)])                      # the grid: bounded
+        x = (nb.withColumn("gr", F.explode(F.filter(gl, lambda e: e["_k"] + 1 >= F.col("rn"))))
+               .select("g", "qid", "rlabel", "dist", "rn", "gr.*"))
+        w = Window.partitionBy("gid", "g", "qid")
+        x = x.withColumn("_dnext", F.max(F.when(F.col("rn") == F.col("_k") + 1, F.col("dist"))).over(w))
+        x = x.withColumn("_dnext", F.coalesce("_dnext", F.max("dist").over(w))).where(F.col("rn") <= F.col("_k"))
+        x = x.withColumn("_w", _grid_weight(F.col("dist"), F.col("_dnext")))
+        per = x.groupBy("gid", "g", "qid", "rlabel").agg(F.sum("_w").alias("score"))
+        best = per.groupBy("gid", "g", "qid").agg(
+            F.min(F.struct((-F.col("score")).alias("neg"), order.alias("o"), F.col("rlabel").alias("c"))).alias("_b"))
+        pred = best.select("gid", "g", "qid", F.col("_b.c").alias("prediction")).join(truth, ["g", "qid"])
+        f = weighted_f1_by(pred, ["gid", "g"])
+        meta = r.sparkSession.createDataFrame([(i, int(x.k), float(p), x.kernel) for i, x in enumerate(sel)],
+                                              "gid int, k int, distance double, kernel string")
+        results.append(f.join(F.broadcast(meta), "gid"))
     from functools import reduce
-    allf = reduce(lambda a, b: a.unionByName(b), per_fold)
+    allf = reduce(lambda a, b: a.unionByName(b), results)
     return (allf.groupBy("k", "distance", "kernel")
                 .agg(F.round(F.avg("f1"), digits).alias("f1"), F.round(F.stddev_samp("f1"), digits).alias("f1_sd"),
                      F.round(F.stddev_samp("f1") / F.sqrt(F.count("f1")), digits).alias("f1_se"))

@@ -98,21 +98,26 @@ def multiclass_auc(df: DataFrame, label: str, scores: Mapping[str, str], digits:
     """
     from fieldstat.operators.ranking import running_total
     classes = list(scores)
-    parts = []
+    lab = F.col(label).cast("string")
+    # One pass: a row of class c enters every ordered pair (c, j) as a positive scored
+    # by p_c and every pair (i, c) as a negative scored by p_i.
+    entries = []
     for i, j in itertools.permutations(classes, 2):
-        s = df.where(F.col(label).cast("string").isin(i, j)).select(
-            F.lit(i).alias("ci"), F.lit(j).alias("cj"), F.col(scores[i]).cast("double").alias("score"),
-            (F.col(label).cast("string") == F.lit(i)).alias("pos"))
-        parts.append(s)
-    from functools import reduce
-    allp = reduce(lambda a, b: a.unionByName(b), parts)
+        entries.append(F.when(lab == F.lit(i), F.struct(F.lit(i).alias("ci"), F.lit(j).alias("cj"),
+                                                          F.col(scores[i]).cast("double").alias("score"),
+                                                          F.lit(True).alias("pos")))
+                        .when(lab == F.lit(j), F.struct(F.lit(i).alias("ci"), F.lit(j).alias("cj"),
+                                                         F.col(scores[i]).cast("double").alias("score"),
+                                                         F.lit(False).alias("pos"))))
+    allp = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
+              .select("e.ci", "e.cj", "e.score", "e.pos"))
     cnt = allp.groupBy("ci", "cj", "score").agg(
         F.sum(F.when(F.col("pos"), 1).otherwise(0)).alias("npos"), F.sum(F.when(F.col("pos"), 0).otherwise(1)).alias("nneg"))
     run = running_total(cnt, ["score"], ["ci", "cj"], value=F.col("nneg"), out="neg_below", exclusive=True)
     a = run.groupBy("ci", "cj").agg(
         (F.sum(F.col("npos") * (F.col("neg_below") + 0.5 * F.col("nneg")))
          / (F.sum("npos") * F.sum("nneg"))).alias("A"))
-    pair = F.when(F.col("ci") < F.col("cj"), F.struct(F.col("ci"), F.col("cj"))).otherwise(F.struct(F.col("cj"), F.col("ci")))
+    pair = F.struct(F.least("ci", "cj").alias("a"), F.greatest("ci", "cj").alias("b"))
     per_pair = a.groupBy(pair.alias("pair")).agg(F.avg("A").alias("a_pair"))
     return per_pair.agg(F.round(F.avg("a_pair"), digits).alias("auc"),
                         F.count(F.lit(1)).alias("pairs"))

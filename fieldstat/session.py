@@ -34,6 +34,9 @@ def get_session(master: str | None = None, app: str = "fieldstat",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the whole cluster.
+        conf["spark.driver.memory"] = os.environ.get("FIELDSTAT_DRIVER_MEMORY", "16g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
