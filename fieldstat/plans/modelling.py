@@ -52,8 +52,11 @@ def split(spark, sf_dir):
 
 
 def knn_result(spark, sf_dir):
+    """k-NN predictions of the test rows, materialised once (reliable checkpoint in the
+    shared checkpoint folder) because every metric query reads them several times."""
+    from fieldstat.session import materialise
     tr, te = split(spark, sf_dir)
-    return K.knn_predict(tr, te, K_BEST, P_BEST, "rectangular", levels=LEVELS)
+    return materialise(K.knn_predict(tr, te, K_BEST, P_BEST, "rectangular", levels=LEVELS))
 
 
 @query("standardise", "WITH " + SPLIT_CTE.strip() + "\nSELECT vec_id, dim, ROUND(z, 6) AS z FROM z WHERE NOT is_train")
