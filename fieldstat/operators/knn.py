@@ -134,7 +134,12 @@ def block_tiles(left: DataFrame, right: DataFrame, fn, schema: str, *, id_col: s
     each side (column ``_side`` 0 / 1), so a task never holds more than two blocks.
     ``group`` restricts pairs to equal group values (column ``g`` of the tile)."""
     nl, nr = left.count(), right.count()
-    lb, rb = max(1, math.ceil(nl / block)), max(1, math.ceil(nr / block))
+    # At least ~2 tiles per core even for small inputs; block-sized tiles at scale.
+    # (Grouped searches, e.g. one group per CV fold, already have enough tiles.)
+    par = left.sparkSession.sparkContext.defaultParallelism
+    side = 1 if group else max(1, math.ceil(math.sqrt(2 * par)))
+    lb = max(1, min(max(side, math.ceil(nl / block)), nl))
+    rb = max(1, min(max(side, math.ceil(nr / block)), nr))
     g = F.col(group).cast("long") if group else F.lit(0).cast("long")
     lab = lambda d: (F.col(label).cast("string") if label and label in d.columns
                      else F.lit(None).cast("string"))

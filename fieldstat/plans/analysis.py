@@ -481,3 +481,37 @@ def q_retype(spark, sf_dir):
     """Casts; text that does not convert becomes NULL."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     return basic.retype(c, {"c_mktsegment": "int", "c_nationkey": "bigint"})
+
+
+# ---------------------------------------------------------------- sinks and sources round trips
+
+@query("csv_roundtrip", """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS sum_qty
+FROM lineitem GROUP BY 1, 2""")
+def q_csv_roundtrip(spark, sf_dir):
+    """A7 then A6: an aggregate written as CSV with a header, read back with a schema."""
+    from fieldstat.session import shared_dir
+    from fieldstat.sources.io import read_csv, write_csv
+    li = table(spark, sf_dir, "lineitem")
+    agg = li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"))
+    path = write_csv(agg, shared_dir(spark, "csv"), files=1)
+    return read_csv(spark, path, "l_returnflag string, l_linestatus string, n bigint, sum_qty double")
+
+
+@query("parquet_roundtrip", """
+SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1""")
+def q_parquet_roundtrip(spark, sf_dir):
+    """Orders written as Parquet partitioned by priority (one file per
+    partition), the feature list saved and reloaded, NULL check, then re-read (A3)."""
+    from fieldstat.operators.profile import expect_no_nulls
+    from fieldstat.session import shared_dir
+    from fieldstat.sources.io import load_features, read_parquet, save_features, write_parquet
+    o = table(spark, sf_dir, "orders")
+    feat_path = shared_dir(spark, "features")
+    save_features(spark, ["o_orderkey", "o_totalprice"], feat_path)
+    names = load_features(spark, feat_path)
+    path = write_parquet(expect_no_nulls(o, ["o_orderpriority"]).select("o_orderpriority", *names),
+                         shared_dir(spark, "parquet"), partition_by=["o_orderpriority"])
+    back = read_parquet(spark, path)
+    return back.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))

@@ -397,17 +397,19 @@ def q_kmeans_sweep(spark, sf_dir):
     """K sweep 2..10 with W, silhouette, purity, ARI, elbow drop."""
     tr, te = wide(spark, sf_dir)
     df = tr.unionByName(te)
-    prep = ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df).cache()
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).cache()
     rows = []
     for k in range(2, 11):
         _, a = ML.kmeans(prep, k)
         sil = ML.silhouette_sq(a)
-        a2 = a.withColumn("vec", ML.vector_to_array("features")).withColumn("cluster", F.col("prediction").cast("string"))
+        a2 = (a.withColumn("vec", ML.vector_to_array("features"))
+               .withColumn("cluster", F.col("prediction").cast("string")).cache())
         s = C.sse(a2, "cluster", "vec", 1).first()
         pu = C.purity(a2, "cluster", "label").first()[0]
         ar = C.ari(a2, "cluster", "label").first()[0]
         sz = C.cluster_sizes(a2, "cluster").first()
         rows.append((k, float(s.W), float(s.SSE), round(sil, 4), sz.smallest, sz.largest, pu, ar))
+        a2.unpersist()
     prep.unpersist()
     res = spark.createDataFrame(rows, "k int, W double, SSE double, silhouette double, smallest long, largest long, purity double, ari double")
     return S.relative_drop(res, "k", "W", "drop_W")
@@ -418,7 +420,7 @@ def q_kmeans_stability(spark, sf_dir):
     """2 init modes x 5 seeds at k = 3, with W and silhouette."""
     tr, te = wide(spark, sf_dir)
     df = tr.unionByName(te)
-    prep = ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df).cache()
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).cache()
     rows = []
     for init in ("k-means||", "random"):
         for seed in (1, 7, 42, 2024, 31337):
@@ -434,7 +436,7 @@ def q_bisecting(spark, sf_dir):
     """Bisecting k-means at k = 3 on scaled, uncentred features vs k-means (ARI)."""
     tr, te = wide(spark, sf_dir)
     df = tr.unionByName(te)
-    prep = ML.Pipeline(stages=ML.prepare_stages(FEATS, None, with_mean=False)).fit(df).transform(df)
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None, with_mean=False)).fit(df).transform(df)).cache()
     _, b = ML.bisecting(prep, 3)
     _, k = ML.kmeans(prep, 3)
     j = b.select("id", F.col("prediction").cast("string").alias("bis")).join(
