@@ -467,3 +467,24 @@ def q_merge_rankings(spark, sf_dir):
     fi = ML.importance(spark, ML.fit(tr, FEATS, ML.forest(numTrees=50, maxDepth=5)), FEATS).select("feature", "importance")
     return merge_rankings([(ti, "importance_tree"), (fi, "importance_forest")], "feature") \
         .orderBy(F.desc("importance_forest"), "feature")
+
+
+_Z = 1.959963984540054
+
+
+@query("accuracy_interval", "WITH " + KNN_CTE.strip() + f""",
+a AS (SELECT AVG(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS acc, COUNT(*) AS n FROM res)
+SELECT ROUND(acc, 4) AS accuracy,
+       ROUND((acc + {_Z} * {_Z} / (2 * n) - {_Z} * sqrt(acc * (1 - acc) / n + {_Z} * {_Z} / (4 * n * n)))
+             / (1 + {_Z} * {_Z} / n), 4) AS acc_lower,
+       ROUND((acc + {_Z} * {_Z} / (2 * n) + {_Z} * sqrt(acc * (1 - acc) / n + {_Z} * {_Z} / (4 * n * n)))
+             / (1 + {_Z} * {_Z} / n), 4) AS acc_upper,
+       n FROM a""")
+def q_accuracy_interval(spark, sf_dir):
+    """M7: accuracy of the k-NN predictions with its Wilson 95 % interval."""
+    r = knn_result(spark, sf_dir)
+    a = r.agg(F.avg(F.when(F.col("label") == F.col("prediction"), 1.0).otherwise(0.0)).alias("acc"),
+              F.count(F.lit(1)).alias("n"))
+    lo, hi = M.accuracy_interval_cols(F.col("acc"), F.col("n"), _Z)
+    return a.select(F.round("acc", 4).alias("accuracy"), F.round(lo, 4).alias("acc_lower"),
+                    F.round(hi, 4).alias("acc_upper"), "n")
