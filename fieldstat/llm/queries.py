@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstat.llm import decontam, license, line_dedup, mixing
+from fieldstat.llm import (decontam, html_extract, langid, license, line_dedup, mixing, near_dup, topk,
+                           toxicity)
 from fieldstat.llm.tables import read
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best matches of every hundredth vector among all vectors."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -23,12 +35,36 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; rows with ``held_out`` are never learnt from."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = toxicity.held_out(F.col("doc_id"), 3, 1)
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(~apart)
+    model = toxicity.train(docs, labels)
+    scored = toxicity.score(docs, model, out="score")
+    return scored.select("doc_id", apart.alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of document and benchmark item with a verified overlap."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.overlaps(docs, read(spark, sf_dir, "benchmark")).drop("k1", "k2")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows with ``held_out`` are never learnt from."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    apart = toxicity.held_out(F.col("doc_id"), 4, 2)
+    model = langid.train(docs.where(~apart))
+    return langid.predict(docs.select("doc_id", "text", apart.alias("held_out")), model).drop("text")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before dropping, lines dropped and a digest of what is kept, per document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,7 +75,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query, in order of the operators."""
-    return {f.__name__: f for f in (op3_license_scan, op4_source_mix, op8_decontaminate, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_main_text, op2_top_k, op3_license_scan, op4_source_mix, op6_near_duplicates, op7_toxicity,
+                                   op8_decontaminate, op9_language, op10_line_dedup)}
 
 
 _LINE_KEY = ("translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), "
