@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstat.llm import (decontam, html_extract, langid, license, line_dedup, mixing, near_dup, topk,
-                           toxicity)
+from fieldstat.llm import (decontam, html_extract, langid, license, line_dedup, mixing, near_dup, passages,
+                           topk, toxicity)
 from fieldstat.llm.tables import read
 
 
@@ -35,6 +35,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages that documents share, and exact copies."""
+    return passages.repeated_passages(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_dup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -75,8 +80,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query, in order of the operators."""
-    return {f.__name__: f for f in (op1_main_text, op2_top_k, op3_license_scan, op4_source_mix, op6_near_duplicates, op7_toxicity,
-                                   op8_decontaminate, op9_language, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_main_text, op2_top_k, op3_license_scan, op4_source_mix, op5_repeated_passages,
+                                   op6_near_duplicates, op7_toxicity, op8_decontaminate, op9_language, op10_line_dedup)}
 
 
 _LINE_KEY = ("translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), "

@@ -39,8 +39,15 @@ STEPS = 400
 LEAST_TEXTS = 4          # a term of fewer texts in the sample is not learnt
 
 
-def terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, term number) of a chunk, sorted by text."""
+def sieve(known: np.ndarray) -> np.ndarray:
+    """Which 16-bit endings the known terms have: most other terms fall through."""
+    ends = np.zeros(1 << 16, bool)
+    ends[known & 0xFFFF] = True
+    return ends
+
+
+def terms(raw: np.ndarray, off: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, term number) of a chunk, sorted by text; of terms with other endings none."""
     w = tk.words(raw, off)
     doc, h = [w.doc], [w.hash]
     for i, size in enumerate(PREFIXES):
@@ -48,7 +55,11 @@ def terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         doc.append(w.doc[long])
         h.append(w.part_hash(w.start[long], w.start[long] + size, 30 + i))
     term = np.concatenate(h) >> tk.U64(64 - BITS)
-    key = np.unique((np.concatenate(doc).astype(tk.U64) << tk.U64(BITS)) | term)
+    where = np.concatenate(doc).astype(tk.U64)
+    if ends is not None:
+        kept = ends[(term & tk.U64(0xFFFF)).astype(np.int64)]
+        where, term = where[kept], term[kept]
+    key = np.unique((where << tk.U64(BITS)) | term)
     return (key >> tk.U64(BITS)).astype(np.int64), (key & tk.U64((1 << BITS) - 1)).astype(np.int64)
 
 
@@ -167,9 +178,10 @@ def score(docs: DataFrame, model: Machine, text_col: str = "text", out: str = "t
     schema = docs.select(*[c for c in docs.columns if c != out], F.lit(0.0).alias(out)).schema
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = sieve(shared.value.term)
         for batch in batches:
             for at, to, raw, off in tk.chunks(batch.column(text_col)):
-                doc, term = terms(raw, off)
+                doc, term = terms(raw, off, ends)
                 p = shared.value.score(doc, term, to - at)
                 part = batch.slice(at, to - at)
                 keep = [(c, part.column(c)) for c in part.schema.names if c != out]
