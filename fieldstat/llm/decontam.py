@@ -46,8 +46,7 @@ def _token_hashes(df: DataFrame, text: str, *keep: Column) -> DataFrame:
 
 def _windows(tokens: DataFrame, span: int, masks: tuple[str, ...]) -> DataFrame:
     """A row for each window and mask: at, h. Stays in one generated loop over a text."""
-    at = (tokens.where(F.col("n") >= span)
-          .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - span))))
+    at = tokens.withColumn("at", F.explode(F.when(F.col("n") >= span, F.sequence(F.lit(0), F.col("n") - span))))
     return at.withColumn("h", F.explode(F.array(*[
         _masked(F.col("toks"), F.col("at"), m, 100 * span + i) for i, m in enumerate(masks)])))
 
@@ -74,16 +73,18 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
             keys = _windows(mine.where(F.col("n") >= SPAN if span == SPAN else F.col("n") == span), span, masks)
             keys = keys.select("h", "item", F.slice("toks", F.col("at") + 1, span).alias("want"))
             hits = _windows(tokens, span, masks).join(F.broadcast(keys), "h")
-            same = sum((F.when(F.get("toks", F.col("at") + j) == F.get("want", F.lit(j)), 1).otherwise(0)
-                        for j in range(span)), F.lit(0))
-            hits = (hits.select("d", "k1", "k2", "item", "at", (same / F.lit(float(span))).alias("identity"),
-                                F.lit(span).alias("span"))
-                    .where(F.col("identity") >= (identity if span == SPAN else 1.0)))
+            # Only hits are compared, outside the generated loop over all windows, which must stay small to be compiled.
+            same = F.size(F.filter(F.zip_with(F.slice("toks", F.col("at") + 1, span), "want", lambda x, y: x == y),
+                                   lambda equal: equal))
+            hits = hits.select("d", "k1", "k2", "item", "at", (same / F.lit(float(span))).alias("identity"),
+                               F.lit(span).alias("span"), F.lit(identity if span == SPAN else 1.0).alias("least"))
             found = hits if found is None else found.unionByName(hits)
-    return (found.groupBy("k1", "k2", F.col("d").alias(id_col), F.col("item").alias(item_col))
-            .agg(F.min("at").cast("long").alias("first_word"),
-                 F.max(F.col("at") + F.col("span") - 1).cast("long").alias("last_word"),
-                 F.count("*").alias("n_hits"), F.max("identity").alias("identity")))
+    fine = F.col("identity") >= F.col("least")
+    pairs = (found.groupBy("k1", "k2", F.col("d").alias(id_col), F.col("item").alias(item_col))
+             .agg(F.min(F.when(fine, F.col("at"))).cast("long").alias("first_word"),
+                  F.max(F.when(fine, F.col("at") + F.col("span") - 1)).cast("long").alias("last_word"),
+                  F.count(F.when(fine, 1)).alias("n_hits"), F.max(F.when(fine, F.col("identity"))).alias("identity")))
+    return pairs.where(F.col("n_hits") > 0)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
