@@ -2,7 +2,7 @@
 
 A page is parsed into its element tree. Every element is a binary variable,
 content or not; unary potentials weigh its features (tag, words of its class,
-id and role, length, share of links, sentences, ...), pairwise potentials
+id and role, length, share of links, sentences), pairwise potentials
 connect parent and child, with a table for each kind of child. Sum-product
 messages, upward and then downward, give every element's content marginal.
 The potentials are fitted by maximum likelihood, whose gradient needs the same
@@ -80,7 +80,7 @@ WORDS = {
 }
 LEXICON = {w: group for group, ws in WORDS.items() for w in ws.split()}
 KINDS = tuple(dict.fromkeys(TAGS.values())) + ("other",)
-EXTRA = ("hidden", "no_text", "short", "long", "links_some", "links_most", "sentences", "many_sentences", "deep", "first_level",
+EXTRA = ("hidden", "no_text", "short", "long", "links_some", "links_most", "sentences", "many_sentences",
          "own_text", "copyright", "bias")
 NAMES = tuple(f"t_{k}" for k in KINDS) + tuple(WORDS) + EXTRA
 AT = {name: i for i, name in enumerate(NAMES)}
@@ -269,8 +269,8 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     share = whole[:, 1] / np.maximum(whole[:, 0], 1)
     for name, on in (("no_text", whole[:, 0] == 0), ("short", (whole[:, 0] > 0) & (whole[:, 0] < 25)), ("long", whole[:, 0] >= 120),
                      ("links_some", (share > 0.2) & (share <= 0.6)), ("links_most", share > 0.6),
-                     ("sentences", whole[:, 2] >= 1), ("many_sentences", whole[:, 2] >= 3), ("deep", depth > 7),
-                     ("first_level", depth <= 2), ("own_text", own[:, 0] > 0), ("copyright", mark)):
+                     ("sentences", whole[:, 2] >= 1), ("many_sentences", whole[:, 2] >= 3),
+                     ("own_text", own[:, 0] > 0), ("copyright", mark)):
         x[:, AT[name]] = on
     x[:, AT["bias"]] = 1
     return parent, depth, kind, x
@@ -326,7 +326,7 @@ class Model:
     pair: np.ndarray
 
 
-def fit(pages: list[Page], steps: int = 200) -> Model:
+def fit(pages: list[Page], steps: int = 250) -> Model:
     """Maximum likelihood (with L2) from pages whose elements are marked, by Adam."""
     parent, depth, kind, x = features(pages)
     y = np.zeros(len(parent))
@@ -416,7 +416,7 @@ def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
         return f"<pre>{text(1, 2)}</pre>"
 
     def noise() -> str:
-        kind = rng.randrange(19)
+        kind = rng.randrange(22)
         if kind == 0:
             return f'<nav data-main="0">{pick([f"<ul>{links(5)}</ul>", f"<ul>{links(2)}</ul>", text(1, 2), f"<p>{text(1, 3)}</p>"])}</nav>'
         if kind == 1:
@@ -438,7 +438,7 @@ def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
             return f'<form{pick(["", named("w_form")])} data-main="0"><label>{_sentence(rng, 1, 3)}</label><input name=q><p>{text(1, 2)}</p></form>'
         if kind == 11:
             return f'<div{named("w_share")} data-main="0"><ul>{links(3)}</ul></div>'
-        if kind in (16, 17):
+        if kind in (16, 17, 19, 20, 21):
             tag, group = pick(["ul", "ol", "dl", "table"]), pick(["w_comment", "w_nav", "w_side", "w_share", "w_notice", "w_ad"])
             one = {"dl": "dd", "table": "td"}.get(tag, "li")
             return f'<{tag}{named(group)} data-main="0">' + "".join(f"<{one}>{text(1, 3)}</{one}>" for _ in range(rng.randint(1, 5))) + f"</{tag}>"
@@ -481,6 +481,9 @@ def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
         whole = f"{head}{before}{core}{after}{foot}"
         if rng.random() < 0.3:
             whole = f'<div{pick(["", " id=wrapper", " class=container"])}>{whole}</div>'
+        if rng.random() < 0.15:
+            out.append(whole if rng.random() < 0.5 else core)
+            continue
         out.append(f"<html><head><title>{text(1, 1)}</title></head><body>{whole}</body></html>")
     return out
 
