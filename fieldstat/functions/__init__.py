@@ -5,18 +5,16 @@ from fieldstat.functions.columns import (
     clock_seconds,
     cluster_name,
     coord,
-    minkowski,
-    normal_quantile,
     normal_quantile_sql,
     ordinal,
     per_exposure,
+    ratio,
     recode,
     safe_ratio,
-    share,
 )
 from fieldstat.functions import vocab
 
 __all__ = [
-    "clock", "clock_seconds", "cluster_name", "coord", "minkowski", "normal_quantile", "normal_quantile_sql",
-    "ordinal", "per_exposure", "recode", "safe_ratio", "share", "vocab",
+    "clock", "clock_seconds", "cluster_name", "coord", "normal_quantile_sql",
+    "ordinal", "per_exposure", "ratio", "recode", "safe_ratio", "vocab",
 ]

@@ -27,21 +27,23 @@ def clock_seconds(minute, second) -> Column:
     return _c(minute).cast("bigint") * F.lit(60) + _c(second).cast("bigint")
 
 
-def per_exposure(count, exposure, unit: float = 90, digits: int = 3) -> Column:
-    """Rate per ``unit`` of exposure, rounded."""
-    return F.round(_c(count).cast("double") / _c(exposure) * F.lit(float(unit)), digits)
+def ratio(num, den, digits: int) -> Column:
+    """num / den in decimals, rounded half up once; NULL (not an error) when den is 0.
 
+    Decimal division keeps 19 places here, so no double lies a hair below the
+    rounding edge of its true value."""
+    r = F.try_divide(_c(num).cast("decimal(22,6)"), _c(den).cast("decimal(12,0)"))
+    return F.round(r, digits)
 
-def safe_ratio(num, den, digits: int | None = 3) -> Column:
-    """Num / greatest(den, 1)."""
-    r = _c(num).cast("double") / F.greatest(_c(den), F.lit(1)).cast("double")
-    return F.round(r, digits) if digits is not None else r
 
+def per_exposure(count, exposure, unit: float = 90, digits: int = 3) -> Column:
+    """Rate per ``unit`` of a whole-numbered exposure, rounded."""
+    return ratio(_c(count).cast("decimal(16,6)") * F.lit(int(unit)), exposure, digits).cast("double")
 
-def share(num, den, digits: int | None = 3) -> Column:
-    """Ratio that is NULL (not an error) when the denominator is 0."""
-    r = F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
-    return F.round(r, digits) if digits is not None else r
+
+def safe_ratio(num, den, digits: int = 3) -> Column:
+    """Num / greatest(den, 1)."""
+    return ratio(num, F.greatest(_c(den), F.lit(1)), digits).cast("double")
 
 
 def recode(col, groups: Mapping[str, Sequence[str]]) -> Column:
@@ -64,23 +66,6 @@ def cluster_name(col) -> Column:
     return F.concat(F.lit("C"), (_c(col) + F.lit(1)).cast("string"))
 
 
-def minkowski(a, b, p: float) -> Column:
-    """Minkowski distance between two numeric arrays of equal length."""
-    a, b = _c(a), _c(b)
-    if p == 1:
-        terms = F.zip_with(a, b, lambda x, y: F.abs(x - y))
-    elif p == 2:
-        terms = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    else:
-        terms = F.zip_with(a, b, lambda x, y: F.pow(F.abs(x - y), F.lit(float(p))))
-    s = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t.cast("double"))
-    if p == 1:
-        return s
-    if p == 2:
-        return F.sqrt(s)
-    return F.pow(s, F.lit(1.0 / p))
-
-
 # Normal quantile by Acklam's rational approximation (relative error < 1.2e-9),
 # written as SQL text so the same definition serves Spark and the DuckDB oracle.
 # FIXED VALUES: published coefficients of the approximation.
@@ -113,7 +98,3 @@ def normal_quantile_sql(p: str) -> str:
     return (f"CASE WHEN {p} < {lo} THEN {tail(q_tail_lo)} "
             f"WHEN {p} > {1 - lo} THEN -{tail(q_tail_hi)} "
             f"ELSE {mid} END")
-
-
-def normal_quantile(col_sql: str) -> Column:
-    return F.expr(normal_quantile_sql(col_sql))

@@ -56,6 +56,13 @@ def join_on(a: DataFrame, b: DataFrame, keys: Mapping[str, str], how: str = "lef
     return j
 
 
+def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on same-named keys where NULL equals NULL; keeps the keys of ``a``."""
+    right = b.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = reduce(lambda x, y: x & y, [a[k].eqNullSafe(right[f"_r_{k}"]) for k in keys])
+    return a.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def merge_rankings(tables: Sequence[tuple[DataFrame, str]], on: str) -> DataFrame:
     """Inner-merge ranking tables on a key; value columns get the given names.
     ``tables`` is a list of (df with columns [on, value], new value name)."""
@@ -75,8 +82,3 @@ def param_grid(spark: SparkSession, **lists) -> DataFrame:
 def top(df: DataFrame, by: Sequence[Column | str], n: int) -> DataFrame:
     """top n rows (TakeOrderedAndProject: per-partition top-n, then merge)."""
     return df.orderBy(*by).limit(n)
-
-
-def bind_rows(dfs: Sequence[DataFrame]) -> DataFrame:
-    """Union by name; missing columns become NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -14,14 +14,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldstat.operators.knn import block_tiles
+from fieldstat.operators.knn import _powers, _sides, block_tiles
 
 
 def _dim_sums(df: DataFrame, cluster: str, vec: str) -> DataFrame:
     ex = df.select(F.col(cluster).alias("c"), F.posexplode(vec).alias("pos", "x"))
-    return ex.groupBy("c", "pos").agg(F.count("x").alias("n"), F.sum("x").alias("s1"),
-                                      F.sum(F.col("x") * F.col("x")).alias("s2"),
-                                      F.var_samp("x").alias("v"))
+    return ex.groupBy("c", "pos").agg(F.count("x").alias("n"), F.var_samp("x").alias("v"))
 
 
 def sse(df: DataFrame, cluster: str = "cluster", vec: str = "vec", digits: int | None = 4) -> DataFrame:
@@ -33,16 +31,23 @@ def sse(df: DataFrame, cluster: str = "cluster", vec: str = "vec", digits: int |
 
 
 def w_pairs(df: DataFrame, cluster: str = "cluster", vec: str = "vec", digits: int | None = 4) -> DataFrame:
-    """W from all within-cluster pairs, Σ_c (2 / n_c) Σ_{i<j} ||x_i - x_j||², using
-    Σ_{i<j} ||x_i - x_j||² = n Σ||x||² - ||Σx||² per cluster (no pair is formed)."""
+    """W from all within-cluster pairs, sum over c of (2 / n_c) times the sum over its pairs of
+    |x_i - x_j|^2, which is 2 sum over dimensions of (n - 1) var_samp (no pair is formed, and
+    no difference of large sums taken)."""
     d = _dim_sums(df, cluster, vec)
-    per = d.groupBy("c").agg(F.first("n").alias("n"), F.sum("s2").alias("S2"),
-                             F.sum(F.col("s1") * F.col("s1")).alias("S1sq"))
-    pairs = F.col("n") * F.col("S2") - F.col("S1sq")
-    out = per.agg(F.sum(2 * pairs / F.col("n")).alias("W_pairs"))
+    per = d.groupBy("c").agg(F.max("n").alias("n"), F.sum((F.col("n") - 1) * F.coalesce("v", F.lit(0.0))).alias("ss"))
+    out = per.agg(F.sum(2 * F.col("n") * F.col("ss") / F.col("n")).alias("W_pairs"))
     return out.select(F.round("W_pairs", digits).alias("W_pairs")) if digits is not None else out
 
 
+def centred(df: DataFrame, vec: str = "vec") -> DataFrame:
+    """``vec`` less its overall mean: distances stay, and squares of large means do not cancel."""
+    m = (df.select(F.posexplode(vec).alias("pos", "x")).groupBy("pos").agg(F.avg("x").alias("m"))
+           .agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("a")).select("a.m").head())
+    mean = F.array(*[F.lit(float(x)) for x in (m[0] or [])]) if m else F.array()
+    return df.withColumn(vec, F.zip_with(vec, mean, lambda x, c: x - c))
+
+
 def _cluster_summary(df: DataFrame, cluster: str, vec: str) -> Column:
     """Literal array of (cluster, n, Σ||x||², Σx) over the k clusters: k x d numbers,
     bounded by the model size, read once from a two-level aggregate."""
@@ -61,6 +66,7 @@ def silhouette_sq_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec"
                        id_col: str = "id") -> DataFrame:
     """N6/N7 (squared Euclidean, as Spark's ClusteringEvaluator): per row
     D(i, C) = ||x_i||² - 2 x_i·Σx_C / n_C + Σ||x||²_C / n_C; a(i) uses n/(n-1)."""
+    df = centred(df, vec)
     summ = _cluster_summary(df, cluster, vec)
     xi2 = F.aggregate(F.col(vec), F.lit(0.0), lambda a, x: a + x * x)
     def dot(s):
@@ -78,26 +84,16 @@ def silhouette_sq_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec"
 
 
 def _sil_tile(pdf: pd.DataFrame) -> pd.DataFrame:
-    a = pdf[pdf["_side"] == 0]
-    b = pdf[pdf["_side"] == 1]
-    if a.empty or b.empty:
+    sides = _sides(pdf)
+    if sides is None:
         return pd.DataFrame({"id": [], "c": [], "dsum": [], "cnt": []})
-    A = np.vstack(a["_vec"].to_numpy())
-    B = np.vstack(b["_vec"].to_numpy())
-    cb = b["_label"].to_numpy()
-    ids, cs, sums, cnts = [], [], [], []
-    labels = np.unique(cb)
-    for start in range(0, len(A), 64):
-        diff = A[start:start + 64, None, :] - B[None, :, :]
-        d = np.sqrt((diff * diff).sum(-1))
-        for lab in labels:
-            m = cb == lab
-            ids.append(a["_id"].to_numpy()[start:start + 64])
-            cs.append(np.full(min(64, len(A) - start), lab, dtype=object))
-            sums.append(d[:, m].sum(1))
-            cnts.append(np.full(min(64, len(A) - start), int(m.sum()), dtype=np.int64))
-    return pd.DataFrame({"id": np.concatenate(ids), "c": np.concatenate(cs).astype(str),
-                         "dsum": np.concatenate(sums), "cnt": np.concatenate(cnts)})
+    ids, A, _, B, cb = sides
+    d = np.sqrt(_powers(A, B, 2))
+    out = []
+    for lab in np.unique(cb):
+        m = cb == lab
+        out.append(pd.DataFrame({"id": ids, "c": str(lab), "dsum": d[:, m].sum(1), "cnt": np.int64(m.sum())}))
+    return pd.concat(out, ignore_index=True)
 
 
 def silhouette_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec", id_col: str = "id",
@@ -121,12 +117,12 @@ def silhouette_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec", i
 
 
 def silhouette_summary(rows: DataFrame, cluster: str = "cluster", digits: int = 4) -> DataFrame:
-    """Mean silhouette overall and per cluster, and the share of negative values."""
-    per = rows.groupBy(cluster).agg(F.round(F.avg("silhouette"), digits).alias("mean_silhouette"),
-                                    F.count(F.lit(1)).alias("n"))
-    tot = rows.agg(F.round(F.avg("silhouette"), digits).alias("mean_silhouette"),
-                   F.round(F.avg(F.when(F.col("silhouette") < 0, 1.0).otherwise(0.0)), digits).alias("negative_share"))
-    return per, tot
+    """Mean silhouette, size and share of negative values per cluster, and overall (NULL cluster)."""
+    r = rows.groupBy(F.col(cluster).alias(cluster)).agg(F.sum("silhouette").alias("_s"), F.count(F.lit(1)).alias("n"),
+                                                        F.sum(F.when(F.col("silhouette") < 0, 1).otherwise(0)).alias("_neg"))
+    total = r.agg(F.lit(None).cast("string").alias(cluster), F.sum("_s").alias("_s"), F.sum("n").alias("n"), F.sum("_neg").alias("_neg"))
+    return r.unionByName(total).select(cluster, "n", F.round(F.col("_s") / F.col("n"), digits).alias("mean_silhouette"),
+                                       F.round(F.col("_neg") / F.col("n"), digits).alias("negative_share"))
 
 
 def purity(df: DataFrame, cluster: str, cls: str, digits: int = 4) -> DataFrame:
@@ -163,11 +159,6 @@ def explained_share(df: DataFrame, cluster: str = "cluster", vec: str = "vec", d
                                            F.round(total, digits).alias("SSE_1"))
 
 
-def centroids(df: DataFrame, cluster: str, cols) -> DataFrame:
-    """Cluster means of the listed columns with the cluster size."""
-    return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols])
-
-
 def centroid_arrays(df: DataFrame, cluster: str = "cluster", vec: str = "vec") -> DataFrame:
     """N16 on a vector column: per cluster the mean vector (array) and size."""
     ex = df.select(F.col(cluster).alias("c"), F.posexplode(vec).alias("pos", "x"))
@@ -177,7 +168,8 @@ def centroid_arrays(df: DataFrame, cluster: str = "cluster", vec: str = "vec") -
     return arr.join(n, "c").select(F.col("c").alias(cluster), "n", F.col("_m.m").alias("centroid"))
 
 
-def assignment_profile(rows: DataFrame, cluster: str, value: str, id_col: str) -> DataFrame:
-    """E8 on silhouettes: one global position ordered by cluster, then value descending."""
-    from fieldstat.operators.ranking import running_total
-    return running_total(rows, [F.col(cluster), F.col(value).desc(), F.col(id_col)], out="i")
+def class_table(df: DataFrame, cluster: str, cls: str, digits: int = 4) -> DataFrame:
+    """Cluster x class counts, each with its share of the cluster and of the class (coverage)."""
+    c = df.groupBy(cluster, cls).agg(F.count(F.lit(1)).alias("n"))
+    share = lambda by: F.round(F.col("n") / F.sum("n").over(Window.partitionBy(by)), digits)
+    return c.withColumn("cluster_share", share(cluster)).withColumn("class_coverage", share(cls))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstat.functions import vocab
-from fieldstat.functions.columns import per_exposure, safe_ratio
+from fieldstat.functions.columns import per_exposure, ratio, safe_ratio
 
 # (name, numerator, denominator, digits) for guarded ratios of the feature table.
 FOOTBALL_RATIOS = [
@@ -26,11 +26,22 @@ def counter_expr(type_col: str, event_type: str | None, cond: str | None,
         pred = F.col(type_col) == F.lit(event_type)
     if cond is not None:
         pred = F.expr(cond) if pred is None else pred & F.expr(cond)
-    one = F.coalesce(F.expr(value), F.lit(0.0)) if value is not None else F.lit(1)
-    if pred is None:
-        return F.sum(one)
-    zero = F.lit(0.0) if value is not None else F.lit(0)
-    return F.sum(F.when(pred, one).otherwise(zero))
+    if value is None:
+        return F.sum(F.lit(1)) if pred is None else F.sum(F.when(pred, 1).otherwise(0))
+    return F.coalesce(exact_sum(F.expr(value) if pred is None else F.when(pred, F.expr(value))).cast("double"), F.lit(0.0))
+
+
+_TERM, _SUM = "decimal(18,6)", "decimal(22,6)"
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles as decimals of six places: the same in any order and partitioning."""
+    return F.sum(value.cast(_TERM)).cast(_SUM)
+
+
+def exact_mean(col: str) -> Column:
+    """Mean from an exact sum: one decimal division, the double next to it; NULL without values."""
+    return F.try_divide(exact_sum(F.col(col)), F.count(col).cast("decimal(12,0)")).cast("double")
 
 
 def entity_counters(df: DataFrame, keys: Sequence[str] = ("player_id", "team_name"),
@@ -53,7 +64,7 @@ def entity_counters(df: DataFrame, keys: Sequence[str] = ("player_id", "team_nam
     if length_col:
         aggs.append(counter_expr(type_col, length_type, None, length_col).alias("pass_length_sum"))
     aggs += [
-        F.avg(x).alias("mean_x"), F.avg(y).alias("mean_y"),               # D5
+        exact_mean(x).alias("mean_x"), exact_mean(y).alias("mean_y"),     # D5
         F.stddev_samp(x).alias("sd_x"), F.stddev_samp(y).alias("sd_y"),   # D6
         F.sum(F.when(F.col(x) >= final_third, 1).otherwise(0)).alias("touches_f3"),    # D13
         F.sum(F.when(F.col(x) <= defensive_third, 1).otherwise(0)).alias("touches_d3"),
@@ -81,10 +92,10 @@ def entity_features(counts: DataFrame, minutes: DataFrame, positions: DataFrame
     out += [F.col(k).alias("team") if k == "team_name" else F.col(k) for k in keys[1:]]
     if positions is not None:
         out += [F.col("position"), F.col("pos_purity")]
-    out.append(F.round("minutes", 1).alias("minutes"))
-    out += [per_exposure(c, "minutes", unit).alias(f"{c}_p90") for c in counter_names]   # D11
+    out.append(ratio(F.col("seconds"), F.lit(60), 1).cast("double").alias("minutes"))
+    out += [per_exposure(c, "seconds", unit * 60).alias(f"{c}_p90") for c in counter_names]   # D11
     out += [safe_ratio(n, d, dg).alias(name) for name, n, d, dg in ratios]             # D12
     out += [F.round(c, 2).alias(c) for c in ("mean_x", "mean_y", "sd_x", "sd_y")]
-    out += [F.round(F.col("touches_f3") / F.col("n_events"), 3).alias("f3_share"),     # D13
-            F.round(F.col("touches_d3") / F.col("n_events"), 3).alias("d3_share")]
+    out += [ratio(F.col(c), F.col("n_events"), 3).cast("double").alias(n)               # D13
+            for c, n in (("touches_f3", "f3_share"), ("touches_d3", "d3_share"))]
     return j.select(*out)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldstat.operators.basic import null_safe_join
 from fieldstat.operators.ranking import exact_quantiles
 
 
@@ -54,63 +54,68 @@ def grid_counts(df: DataFrame, cls: str, x: str, y: str, step: float) -> DataFra
         F.count(F.lit(1)).alias("n"))
 
 
+FEW_GROUPS = 100_000
+
+
 def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
-    """Quartiles, whiskers at 1.5 IQR (most extreme values inside) and outlier count."""
-    src = df.where(F.col(col).isNotNull()).select(group, F.col(col).cast("double").alias("_x"))
-    q = exact_quantiles(src, "_x", [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
-    j = src.join(q, group)
+    """Quartiles, whiskers at 1.5 IQR (most extreme values inside) and outlier count.
+
+    NULL is a group of its own. Values are counted first, so a hot value is one
+    row; the quartiles, one row per group, are broadcast if there are at most
+    ``FEW_GROUPS`` of them."""
+    src = (df.where(F.col(col).isNotNull()).groupBy(group, F.col(col).cast("double").alias("_x"))
+             .agg(F.count(F.lit(1)).alias("_c")))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
+    few = q.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    j = null_safe_join(src, F.broadcast(q) if few else q, [group])
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     return j.groupBy(group).agg(
-        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
+        F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
         F.min(F.when(F.col("_x") >= lo_f, F.col("_x"))).alias("lower_whisker"),
         F.max(F.when(F.col("_x") <= hi_f, F.col("_x"))).alias("upper_whisker"),
-        F.sum(F.when((F.col("_x") < lo_f) | (F.col("_x") > hi_f), 1).otherwise(0)).alias("outliers"),
-        F.count(F.lit(1)).alias("n"))
+        F.sum(F.when((F.col("_x") < lo_f) | (F.col("_x") > hi_f), F.col("_c")).otherwise(0)).alias("outliers"),
+        F.sum("_c").alias("n"))
 
 
 def kde(df: DataFrame, col: str, grid: int = 512, bw: float | None = None, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on an even grid, by linear binning + discrete convolution.
 
     Each value splits its weight between its two neighbouring grid points (one
-    aggregate); the density at grid point g is Σ_j w_j φ((g-j)Δ/bw)/(n·bw), an
-    equi-join of the binned weights with the kernel at every grid offset. The
-    work after binning is bounded by grid², independent of the row count.
-    ``bw`` defaults to Silverman's rule 0.9·min(sd, IQR/1.34)·n^(-1/5).
-    """
+    aggregate); the density at grid point g is the sum of w_j phi((g-j) step/bw) / (n bw)
+    over all grid points j. The work after binning is bounded by grid squared,
+    independent of the row count. ``bw`` defaults to Silverman's rule
+    0.9 min(sd, IQR/1.34) n^(-1/5). Range, size and spread are one broadcast row."""
     spark = df.sparkSession
     src = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"))
-    mn, mx = src.select(F.min("_x")).scalar(), src.select(F.max("_x")).scalar()
-    n = src.select(F.count(F.lit(1))).scalar()
+    facts = src.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"), F.count(F.lit(1)).alias("_n"),
+                    F.stddev_samp("_x").alias("_sd"))
     if bw is None:
-        sd = src.select(F.stddev_samp("_x")).scalar()
-        q = exact_quantiles(src, "_x", [0.25, 0.75], [], ["q1", "q3"])
-        spread_ = F.least(sd, (q.select("q3").scalar() - q.select("q1").scalar()) / 1.34)
-        bwc = F.lit(0.9) * F.when(spread_ > 0, spread_).otherwise(sd) * F.pow(n, F.lit(-0.2))
+        q = exact_quantiles(src, "_x", [0.25, 0.75], [], ["_q1", "_q3"])
+        facts = facts.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        narrow = F.least("_sd", (F.col("_q3") - F.col("_q1")) / 1.34)
+        width = F.lit(0.9) * F.when(narrow > 0, narrow).otherwise(F.col("_sd")) * F.pow("_n", F.lit(-0.2))
     else:
-        bwc = F.lit(float(bw))
-    lo = mn - F.lit(cut) * bwc
-    step = (mx - mn + F.lit(2 * cut) * bwc) / F.lit(float(grid - 1))
-    pos = (F.col("_x") - lo) / step
+        width = F.lit(float(bw))
+    facts = facts.select("_n", width.alias("_bw"), (F.col("_mn") - cut * width).alias("_lo"),
+                         ((F.col("_mx") - F.col("_mn") + 2 * cut * width) / F.lit(float(grid - 1))).alias("_step"))
+    one = F.broadcast(facts.withColumn("_one", F.lit(1)))
+    pos = (F.col("_x") - F.col("_lo")) / F.col("_step")
     left = F.floor(pos).cast("int")
     frac = pos - F.floor(pos)
-    parts = src.select(F.explode(F.array(
+    parts = src.withColumn("_one", F.lit(1)).join(one, "_one").select(F.explode(F.array(
         F.struct(left.alias("j"), (1 - frac).alias("w")),
         F.struct((left + 1).alias("j"), frac.alias("w")))).alias("p"))
     weights = (parts.groupBy(F.col("p.j").alias("j")).agg(F.sum("p.w").alias("w"))
                     .where((F.col("j") >= 0) & (F.col("j") < grid)))
-    # Kernel taps: grid point g receives weight j = g - d for every offset d; an
-    # equi-join on j, bounded by grid^2 rows whatever the input size.
-    offsets = spark.range(-(grid - 1), grid).select(F.col("id").cast("int").alias("d"))
-    taps = offsets.select("d", F.explode(F.sequence(F.greatest(F.lit(0), F.col("d")),
-                                                    F.least(F.lit(grid - 1), F.col("d") + grid - 1))).alias("g"))
-    conv = taps.withColumn("j", F.col("g") - F.col("d")).join(weights, "j")
-    u = F.col("d") * step / bwc
-    dens = conv.groupBy("g").agg(F.sum(F.col("w") * F.exp(-u * u / 2)).alias("_s"))
-    grid_pts = spark.range(grid).select(F.col("id").cast("int").alias("g"))
-    full = grid_pts.join(dens, "g", "left")
-    return full.select("g", (lo + F.col("g") * step).alias("x"),
-                       (F.coalesce("_s", F.lit(0.0)) / (n * bwc * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+    # Every grid point takes every weight: grid x grid rows at most, whatever the input size.
+    spread = weights.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))).withColumn("_one", F.lit(1))
+    u = (F.col("g") - F.col("j")) * F.col("_step") / F.col("_bw")
+    dens = spread.join(one, "_one").groupBy("g").agg(F.sum(F.col("w") * F.exp(-u * u / 2)).alias("_s"))
+    points = spark.range(grid).select(F.col("id").cast("int").alias("g"), F.lit(1).alias("_one")).join(one, "_one")
+    return points.join(dens, "g", "left").select(
+        "g", (F.col("_lo") + F.col("g") * F.col("_step")).alias("x"),
+        (F.coalesce("_s", F.lit(0.0)) / (F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
 
 
 def composition(df: DataFrame, group: str, cls: str, digits: int = 4) -> DataFrame:
@@ -124,7 +129,3 @@ def composition(df: DataFrame, group: str, cls: str, digits: int = 4) -> DataFra
 def error_bars(df: DataFrame, value: str, se: str) -> DataFrame:
     """Value ± standard error."""
     return df.withColumn("lower", F.col(value) - F.col(se)).withColumn("upper", F.col(value) + F.col(se))
-
-
-def quantile_table(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    return exact_quantiles(df, col, probs)

@@ -52,13 +52,15 @@ def exposure(match_end: DataFrame, starters: DataFrame, subs: DataFrame,
     if per_session:
         return per_match.withColumn("mins", F.col("secs") / F.lit(60.0))
     return (per_match.groupBy("player_id", "team_name")
-                     .agg((F.sum("secs") / F.lit(60.0)).alias("minutes")))
+                     .agg(F.sum("secs").alias("seconds"))
+                     .withColumn("minutes", F.col("seconds") / F.lit(60.0)))
 
 
 def exposure_from_raw(raw: DataFrame, key: str = "match_id") -> DataFrame:
-    """D9 on nested raw events (markers: Half End, Starting XI, Substitution)."""
+    """D9 on nested raw events (markers: Half End, Starting XI, Substitution).
+    A player listed several times in a session starts once."""
     flat_end = raw.select(F.col(key).alias("match_id"), F.col("type.name").alias("event_type"),
                           "minute", "second")
     return exposure(session_end(flat_end),
-                    explode_lineup(raw, keys=(key,)),
+                    explode_lineup(raw, keys=(key,)).distinct(),
                     substitutions(raw, key))

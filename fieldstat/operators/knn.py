@@ -62,22 +62,22 @@ def fold_scaled(train: DataFrame, fold: str, vec: str = "vec") -> tuple[DataFram
     """Standardise for cross-validation: fold f's queries and its references (all other
     folds) use the statistics of the other folds. Returns (queries, references), both
     with a group column ``g`` = the query fold; references are replicated once per
-    other fold. Per-fold sums are subtracted from the totals, so one pass gives all
-    folds' statistics."""
+    other fold. Each fold's (n, mean, squares about the mean) is found in one pass and
+    merged over the other folds, so no difference of large sums is taken."""
+    fold_ids = sorted(r_[0] for r_ in train.select(fold).distinct().collect())          # k values
+    others = F.explode(F.filter(F.array(*[F.lit(int(x)).cast("long") for x in fold_ids]),
+                                lambda g: g != F.col(fold).cast("long")))
     ex = train.select(fold, F.posexplode(vec).alias("pos", "x"))
-    per = ex.groupBy(fold, "pos").agg(F.count("x").alias("n"), F.sum("x").alias("s"),
-                                      F.sum(F.col("x") * F.col("x")).alias("ss"))
-    tot = per.groupBy("pos").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"),
-                                 F.sum("ss").alias("ss_all"))
-    c = per.join(tot, "pos")
-    n = F.col("n_all") - F.col("n")
-    s = F.col("s_all") - F.col("s")
-    ss = F.col("ss_all") - F.col("ss")
-    mean = s / n
-    var = (ss - s * s / n) / (n - 1)
-    sd = F.sqrt(F.greatest(var, F.lit(0.0)))
-    c = c.select(F.col(fold).alias("g"), "pos", mean.alias("m"),
-                 F.coalesce(F.when(sd > 1e-12, sd), F.lit(1.0)).alias("sd"))
+    per = ex.groupBy(fold, "pos").agg(F.count("x").alias("n"), F.avg("x").alias("m"),
+                                      F.coalesce(F.var_samp("x"), F.lit(0.0)).alias("v"))
+    # (n, mean, squares about the mean) of the other folds merged; k squared x d rows.
+    per = per.withColumn("g", others)
+    whole = per.groupBy("g", "pos").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"), F.sum("n").alias("n_all"))
+    around = F.col("m") - F.col("mean")
+    c = per.join(whole, ["g", "pos"]).groupBy("g", "pos").agg(
+        F.max("mean").alias("m"), F.sqrt(F.try_divide(F.sum((F.col("n") - 1) * F.col("v") + F.col("n") * around * around),
+                                                      F.max("n_all") - 1)).alias("sd"))
+    c = c.withColumn("sd", F.coalesce(F.when(F.col("sd") != 0, F.col("sd")), F.lit(1.0)))
     st = c.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("pos", "m", "sd"))).alias("_st"))
     st = st.select("g", F.col("_st.m").alias("mean"), F.col("_st.sd").alias("sd"))
     # One statistics row per fold: the table has k rows, broadcasting it is bounded.
@@ -85,43 +85,81 @@ def fold_scaled(train: DataFrame, fold: str, vec: str = "vec") -> tuple[DataFram
     q = (train.withColumn("g", F.col(fold).cast("long")).join(stb, "g")
               .withColumn(vec, _standardise(F.col(vec), F.col("mean"), F.col("sd"))).drop("mean", "sd"))
     # Each reference row serves the k - 1 other folds: explode the bounded fold list.
-    fold_ids = sorted(r_.g for r_ in st.select("g").collect())          # k values
-    r = (train.withColumn("g", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in fold_ids])))
-              .where(F.col("g") != F.col(fold).cast("long"))
-              .join(stb, "g")
+    r = (train.withColumn("g", others).join(stb, "g")
               .withColumn(vec, _standardise(F.col(vec), F.col("mean"), F.col("sd"))).drop("mean", "sd"))
     return q, r
 
 
-def _tile_fn(k1: int, p: float, chunk: int = 64):
+def _powers(Q: np.ndarray, R: np.ndarray, p: float) -> np.ndarray:
+    """Sum of |q - r|^p of every pair, a dimension at a time: one matrix, no (pairs x d) temporary."""
+    out = np.zeros((len(Q), len(R)))
+    for j in range(Q.shape[1]):
+        out += _power(Q[:, j, None] - R[None, :, j], p)
+    return out
+
+
+def _power(diff: np.ndarray, p: float) -> np.ndarray:
+    diff = np.abs(diff)
+    return diff if p == 1 else diff * diff if p == 2 else np.power(diff, p)
+
+
+def _root(x: np.ndarray, p: float) -> np.ndarray:
+    return x if p == 1 else np.sqrt(x) if p == 2 else np.power(x, 1.0 / p)
+
+
+def _nearest(d: np.ndarray, rid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k smallest of each row by (value, id): a partial selection, sorted at its end only."""
+    k = min(k, d.shape[1])
+    bound = np.partition(d, k - 1, axis=1)[:, k - 1]
+    row, col = np.nonzero(d <= bound[:, None])
+    order = np.lexsort((rid[col], d[row, col], row))
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], col[place < k]
+
+
+def _sides(pdf: pd.DataFrame):
+    """Ids, vectors and labels of both sides of a tile; None if one is empty."""
+    qs, rs = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
+    if qs.empty or rs.empty:
+        return None
+    return (qs["_id"].to_numpy(np.int64), np.vstack(qs["_vec"].to_numpy()).astype(np.float64),
+            rs["_id"].to_numpy(np.int64), np.vstack(rs["_vec"].to_numpy()).astype(np.float64), rs["_label"].to_numpy())
+
+
+def _tile_fn(k1: int, p: float):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs = pdf[pdf["_side"] == 0]
-        rs = pdf[pdf["_side"] == 1]
-        if qs.empty or rs.empty:
+        sides = _sides(pdf)
+        if sides is None:
             return pd.DataFrame({"g": [], "qid": [], "rid": [], "rlabel": [], "dist": []})
-        Q = np.vstack(qs["_vec"].to_numpy()).astype(np.float64)
-        R = np.vstack(rs["_vec"].to_numpy()).astype(np.float64)
-        rid = rs["_id"].to_numpy(np.int64)
-        rlab = rs["_label"].to_numpy()
-        qid = qs["_id"].to_numpy(np.int64)
-        kk = min(k1, len(rid))
-        out_q, out_r, out_d = [], [], []
-        for a in range(0, len(qid), chunk):
-            diff = np.abs(Q[a:a + chunk, None, :] - R[None, :, :])
-            if p == 1:
-                d = diff.sum(-1)
-            elif p == 2:
-                d = np.sqrt((diff * diff).sum(-1))
-            else:
-                d = np.power(np.power(diff, p).sum(-1), 1.0 / p)
-            order = np.lexsort((np.broadcast_to(rid, d.shape), d), axis=1)[:, :kk]
-            out_q.append(np.repeat(qid[a:a + chunk], kk))
-            out_r.append(order.ravel())
-            out_d.append(np.take_along_axis(d, order, axis=1).ravel())
-        ri = np.concatenate(out_r)
-        g = int(pdf["g"].iloc[0])
-        return pd.DataFrame({"g": np.full(len(ri), g, dtype=np.int64), "qid": np.concatenate(out_q),
-                             "rid": rid[ri], "rlabel": rlab[ri].astype(str), "dist": np.concatenate(out_d)})
+        qid, Q, rid, R, rlab = sides
+        d = _root(_powers(Q, R, p), p)
+        row, col = _nearest(d, rid, k1)
+        return pd.DataFrame({"g": np.full(len(row), int(pdf["g"].iloc[0]), dtype=np.int64), "qid": qid[row],
+                             "rid": rid[col], "rlabel": rlab[col].astype(str), "dist": d[row, col]})
+    return fn
+
+
+def _permuted_fn(k1: int, p: float, dims: int, reps: int):
+    """Tile of the permutation importance: a query's vector is followed by its ``dims * reps``
+    replaced values; only the changed dimension's share of the distances is computed anew."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = _sides(pdf)
+        if sides is None:
+            return pd.DataFrame({"qid": [], "variant": [], "rid": [], "rlabel": [], "dist": []})
+        qid, Q, rid, R, rlab = sides
+        Q, changed = Q[:, :dims], Q[:, dims:]
+        base = _powers(Q, R, p)
+        out = []
+        for j in range(dims):
+            rest = base - _power(Q[:, j, None] - R[None, :, j], p)
+            for rep in range(reps):
+                v = j * reps + rep
+                d = _root(np.maximum(rest + _power(changed[:, v, None] - R[None, :, j], p), 0.0), p)
+                row, col = _nearest(d, rid, k1)
+                out.append(pd.DataFrame({"qid": qid[row], "variant": np.full(len(row), v, dtype=np.int32), "rid": rid[col],
+                                         "rlabel": rlab[col].astype(str), "dist": d[row, col]}))
+        return pd.concat(out, ignore_index=True)
     return fn
 
 
@@ -283,26 +321,20 @@ def knn_grid(train: DataFrame, grid: DataFrame, folds: int = 10, fold_col: str =
                 .orderBy(F.desc("f1"), "k", "distance", "kernel"))
 
 
-def permuted_copies(test: DataFrame, features: int, reps: int, seed: int = 42, *,
+def permuted_values(test: DataFrame, features: int, reps: int, seed: int = 42, *,
                     id_col: str = "id", vec: str = "vec") -> DataFrame:
-    """L15 helper: for every (feature j, repetition) a copy of the test set whose
-    column j is shuffled: row i takes column j of the row at the same position of a
-    second seeded order. Long format (feature, rep, row), one job for all copies."""
+    """L15 helper: (id, changed): for every (feature j, repetition), in this order, the value
+    of dimension j that the row takes in the shuffle: that of the row at the same
+    position of a second seeded order. Only ids and single values are ranked."""
     from fieldstat.operators.ranking import running_total
-    base = test.select(F.col(id_col).alias("_row"), F.col(vec).alias("_vec"))
-    # Every variant (features x reps, a bounded parameter) of every row.
-    x = (base.withColumn("_v", F.explode(F.sequence(F.lit(0), F.lit(features * reps - 1))))
-             .withColumn("feature", (F.col("_v") / reps).cast("int"))
-             .withColumn("rep", (F.col("_v") % reps).cast("int")).drop("_v"))
-    k1 = F.xxhash64(F.lit(seed), "feature", "rep", "_row")
-    k2 = F.xxhash64(F.lit(seed + 1), "feature", "rep", "_row")
-    a = running_total(x.withColumn("_k", k1), ["_k", "_row"], ["feature", "rep"], out="_pos")
-    b = running_total(x.withColumn("_k", k2), ["_k", "_row"], ["feature", "rep"], out="_pos")
-    donor = b.select("feature", "rep", "_pos", F.col("_vec").alias("_dvec"))
-    j = a.join(donor, ["feature", "rep", "_pos"])
-    newvec = F.transform(F.sequence(F.lit(0), F.size("_vec") - 1),
-                         lambda i: F.when(i == F.col("feature"), F.get(F.col("_dvec"), i)).otherwise(F.get(F.col("_vec"), i)))
-    return j.select("feature", "rep", F.col("_row").alias(id_col), newvec.alias(vec))
+    values = F.flatten(F.transform(F.slice(F.col(vec), 1, features), lambda x: F.array_repeat(x, reps)))
+    x = test.select(F.col(id_col).alias("_row"), F.posexplode(values).alias("variant", "_x"))
+    a = running_total(x.withColumn("_k", F.xxhash64(F.lit(seed), "variant", "_row")), ["_k", "_row"], ["variant"], out="_pos")
+    b = running_total(x.withColumn("_k", F.xxhash64(F.lit(seed + 1), "variant", "_row")), ["_k", "_row"], ["variant"], out="_pos")
+    j = a.select("variant", "_pos", "_row").join(b.select("variant", "_pos", "_x"), ["variant", "_pos"])
+    # features x reps values of a row: bounded by parameters.
+    g = j.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("variant", "_x"))).alias("_c"))
+    return g.select(F.col("_row").alias(id_col), F.col("_c._x").alias("changed"))
 
 
 def permutation_importance(train: DataFrame, test: DataFrame, names: Sequence[str], k: int,
@@ -311,30 +343,29 @@ def permutation_importance(train: DataFrame, test: DataFrame, names: Sequence[st
                            levels: Sequence[str] | None = None, block: int = 1024,
                            digits: int = 4) -> DataFrame:
     """Mean drop of weighted F1 over ``reps`` shuffles of each test column; also
-    clipped at 0 and normalised to sum 1. All variants run as one neighbour job."""
+    clipped at 0 and normalised to sum 1 (NULL where no feature matters). Ids may be any
+    whole numbers, each once."""
+    dims = len(names)
     tr = scale_with(train, train, vec)
     te = scale_with(train, test, vec)
     truth = test.select(F.col(id_col).cast("long").alias("qid"), F.col(label).cast("string").alias("label"))
     base_nb = neighbours(te, tr, k + 1, p, id_col=id_col, vec=vec, label=label, block=block)
     base = weighted_f1_by(vote(base_nb, k, kernel, levels).join(truth, "qid"), []).select(F.col("f1").alias("base"))
-    perm = permuted_copies(te, len(names), reps, seed, id_col=id_col, vec=vec)
-    # Every permuted row is its own query against the one reference set: the query id
-    # packs (variant, row), so references are not replicated per variant.
-    span = int(test.agg(F.max(F.col(id_col).cast("long"))).first()[0]) + 1   # ids are >= 0
-    perm = perm.withColumn("_qid", (F.col("feature") * reps + F.col("rep")).cast("long") * F.lit(span)
-                           + F.col(id_col).cast("long"))
-    nb = neighbours(perm.drop(id_col).withColumnRenamed("_qid", id_col), tr, k + 1, p,
-                    id_col=id_col, vec=vec, label=label, block=block)
-    v = vote(nb, k, kernel, levels)
-    v = v.withColumn("_var", (F.col("qid") / F.lit(span)).cast("long"))
-    v = v.withColumn("qid", F.col("qid") - F.col("_var") * F.lit(span))
-    f = weighted_f1_by(v.join(truth, "qid"), ["_var"]).withColumnRenamed("_var", "g")
+    both = te.join(permuted_values(te, dims, reps, seed, id_col=id_col, vec=vec), id_col)
+    both = both.withColumn(vec, F.concat(F.col(vec), F.col("changed"))).drop("changed")
+    tiles = block_tiles(both, tr, _permuted_fn(k + 1, p, dims, reps),
+                        "qid long, variant int, rid long, rlabel string, dist double",
+                        id_col=id_col, vec=vec, label=label, block=block)
+    w = Window.partitionBy("variant", "qid").orderBy("dist", "rid")
+    nb = tiles.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k + 1)
+    v = vote(nb, k, kernel, levels, keys=("variant", "qid"))
+    f = weighted_f1_by(v.join(truth, "qid"), ["variant"])
     f = f.withColumn("base", base.select("base").scalar())
-    drops = (f.withColumn("feature", (F.col("g") / reps).cast("int"))
+    drops = (f.withColumn("feature", F.floor(F.col("variant") / F.lit(reps)).cast("int"))
               .groupBy("feature").agg(F.avg(F.col("base") - F.col("f1")).alias("drop")))
     names_df = train.sparkSession.createDataFrame(list(enumerate(names)), "feature int, name string")
     out = drops.join(F.broadcast(names_df), "feature")
     tot = out.select(F.sum(F.greatest(F.col("drop"), F.lit(0.0)))).scalar()
     return (out.select(F.col("name").alias("feature"), F.round("drop", digits).alias("importance"),
-                       F.round(F.greatest(F.col("drop"), F.lit(0.0)) / tot, digits).alias("importance_norm"))
+                       F.round(F.try_divide(F.greatest(F.col("drop"), F.lit(0.0)), tot), digits).alias("importance_norm"))
                .orderBy(F.desc("importance"), "feature"))

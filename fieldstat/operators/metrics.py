@@ -7,7 +7,6 @@ aggregate), so the input size only affects one partial-aggregated pass.
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -93,42 +92,30 @@ def multiclass_auc(df: DataFrame, label: str, scores: Mapping[str, str], digits:
 
     A(i|j): probability that a class-i row scores higher on p_i than a class-j row
     (ties count one half) — a Mann-Whitney statistic. Rows are aggregated to
-    (pair, score) counts first; the count of class-j rows below each score is a
-    distributed running sum, so no class is ever ranked inside one task.
+    (column, score, class) counts first, one row per class column; the count of
+    class-j rows below each score is a distributed running sum, so no class is
+    ever ranked inside one task. Pairs with a class without rows are undefined
+    and left out of the mean and of ``pairs``.
     """
     from fieldstat.operators.ranking import running_total
     classes = list(scores)
-    lab = F.col(label).cast("string")
-    # One pass: a row of class c enters every ordered pair (c, j) as a positive scored
-    # by p_c and every pair (i, c) as a negative scored by p_i.
-    entries = []
-    for i, j in itertools.permutations(classes, 2):
-        entries.append(F.when(lab == F.lit(i), F.struct(F.lit(i).alias("ci"), F.lit(j).alias("cj"),
-                                                          F.col(scores[i]).cast("double").alias("score"),
-                                                          F.lit(True).alias("pos")))
-                        .when(lab == F.lit(j), F.struct(F.lit(i).alias("ci"), F.lit(j).alias("cj"),
-                                                         F.col(scores[i]).cast("double").alias("score"),
-                                                         F.lit(False).alias("pos"))))
-    allp = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
-              .select("e.ci", "e.cj", "e.score", "e.pos"))
-    cnt = allp.groupBy("ci", "cj", "score").agg(
-        F.sum(F.when(F.col("pos"), 1).otherwise(0)).alias("npos"), F.sum(F.when(F.col("pos"), 0).otherwise(1)).alias("nneg"))
+    listed = F.array(*[F.struct(F.lit(c).alias("ci"), F.col(scores[c]).cast("double").alias("score")) for c in classes])
+    counts = (df.select(F.col(label).cast("string").alias("lab"), F.explode(listed).alias("e"))
+                .where(F.col("lab").isin(classes)).groupBy("e.ci", "e.score", "lab").agg(F.count(F.lit(1)).alias("n")))
+    # Positives of a column meet every other class; this multiplies distinct scores, not rows.
+    others = F.filter(F.array(*map(F.lit, classes)), lambda c: c != F.col("ci"))
+    cj = F.when(F.col("lab") == F.col("ci"), others).otherwise(F.array("lab"))
+    pos = F.col("lab") == F.col("ci")
+    cnt = (counts.withColumn("cj", F.explode(cj)).groupBy("ci", "cj", "score")
+                 .agg(F.sum(F.when(pos, F.col("n")).otherwise(0)).alias("npos"),
+                      F.sum(F.when(pos, 0).otherwise(F.col("n"))).alias("nneg")))
     run = running_total(cnt, ["score"], ["ci", "cj"], value=F.col("nneg"), out="neg_below", exclusive=True)
-    a = run.groupBy("ci", "cj").agg(
-        (F.sum(F.col("npos") * (F.col("neg_below") + 0.5 * F.col("nneg")))
-         / (F.sum("npos") * F.sum("nneg"))).alias("A"))
+    a = run.groupBy("ci", "cj").agg(F.try_divide(
+        F.sum(F.col("npos") * (F.col("neg_below") + 0.5 * F.col("nneg"))), F.sum("npos") * F.sum("nneg")).alias("A"))
     pair = F.struct(F.least("ci", "cj").alias("a"), F.greatest("ci", "cj").alias("b"))
     per_pair = a.groupBy(pair.alias("pair")).agg(F.avg("A").alias("a_pair"))
     return per_pair.agg(F.round(F.avg("a_pair"), digits).alias("auc"),
-                        F.count(F.lit(1)).alias("pairs"))
-
-
-def accuracy_interval(acc: float, n: int, z: float = 1.959963984540054) -> tuple[float, float]:
-    """M7: Wilson 95 % interval of an accuracy (closed form)."""
-    den = 1 + z * z / n
-    centre = (acc + z * z / (2 * n)) / den
-    half = z * math.sqrt(acc * (1 - acc) / n + z * z / (4 * n * n)) / den
-    return centre - half, centre + half
+                        F.count("a_pair").alias("pairs"))
 
 
 def accuracy_interval_cols(acc, n, z: float = 1.959963984540054):

@@ -4,15 +4,18 @@ pipelines and turns fitted-model facts into DataFrames."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+import math
+from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,45 +42,58 @@ def forest(**params) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol="features", labelCol="label_idx", **params)
 
 
-def scenario_grid(est, grid: Mapping[str, Sequence]):
-    """L4: ParamGridBuilder over named parameters of the estimator."""
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(est.getParam(name), list(values))
-    return b.build()
-
-
-def cross_validate(train: DataFrame, cols: Sequence[str], est, grid: Mapping[str, Sequence], *,
-                   label: str = "label", folds: int = 10, parallelism: int = 4, seed: int = 42,
-                   fold_col: str | None = None):
-    """L3: k-fold CV on weighted F1. With ``fold_col`` every method shares the same
-    stratified folds (E9) instead of Spark's random ones."""
-    pipe = Pipeline(stages=prepare_stages(cols, label) + [est])
-    maps = scenario_grid(est, grid)
-    ev = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="f1")
-    kw = dict(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
-              parallelism=parallelism, seed=seed)
-    if fold_col:
-        kw["foldCol"] = fold_col
-    cv = CrossValidator(**kw).fit(train)
-    return cv, maps
-
-
-def validation_table(spark: SparkSession, cv, maps, digits: int = 4) -> DataFrame:
-    """One row per parameter set with mean and sd of the metric, best first."""
-    rows = []
-    for pm, avg, sd in zip(maps, cv.avgMetrics, cv.stdMetrics or [None] * len(maps)):
-        params = {p.name: v for p, v in pm.items()}
-        rows.append((str(sorted(params.items())), float(avg), float(sd) if sd is not None else None))
-    df = spark.createDataFrame(rows, "params string, f1 double, f1_sd double")
-    return df.select("params", F.round("f1", digits).alias("f1"), F.round("f1_sd", digits).alias("f1_sd")) \
-             .orderBy(F.desc("f1"), "params")
-
-
-def best_params(cv) -> dict:
-    """Parameters read back from the best model's last stage (for a refit)."""
-    m = cv.bestModel.stages[-1]
-    return {p.name: m.getOrDefault(p) for p in m.params if m.hasDefault(p) or m.isSet(p)}
+# FIXED VALUES: the parameter grids of the searched scenarios.
+TREE_SCENARIOS = {
+    "S1": {"maxDepth": [2, 3, 5, 8, 12, 20]},
+    "S2": {"minInstancesPerNode": [1, 5, 10, 20, 50], "minInfoGain": [0.0, 0.001, 0.01]},
+    "S3": {"impurity": ["gini", "entropy"], "maxDepth": [5, 10, 15]},
+}
+FOREST_SCENARIOS = {
+    "S1": {"numTrees": [20, 50, 100, 250, 500]},
+    "S2": {"maxDepth": [3, 5, 10, 15], "featureSubsetStrategy": ["sqrt", "log2", "onethird"]},
+    "S3": {"subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 5, 20]},
+}
+
+
+def parameter_sets(grid: Mapping[str, Sequence]) -> list[dict]:
+    """L4: every combination of the named parameter values."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def cross_validate(train: DataFrame, cols: Sequence[str], make: Callable[..., object], sets: Sequence[dict], *,
+                   label: str = "label", fold_col: str = "fold", parallelism: int = 4) -> list[list[float]]:
+    """L3: weighted F1 of every parameter set on every fold (stratified folds, E9, shared by all methods).
+
+    Indexer and scaler are fitted once per fold, on the other folds, and their
+    output is kept while the sets of the fold are fitted from a small pool."""
+    folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
+    score = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="f1")
+    found: list[list[float]] = [[] for _ in sets]
+    for fold in folds:
+        rest, held = train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
+        prep = Pipeline(stages=prepare_stages(cols, label)).fit(rest)
+        a = sized(prep.transform(rest).select("label_idx", "features")).persist()
+        b = sized(prep.transform(held).select("label_idx", "features")).persist()
+        with ThreadPool(parallelism) as pool:
+            for out, f1 in zip(found, pool.map(lambda s: score.evaluate(make(**s).fit(a).transform(b)), sets)):
+                out.append(f1)
+        a.unpersist()
+        b.unpersist()
+    return found
+
+
+def search(train: DataFrame, cols: Sequence[str], make: Callable[..., object], scenarios: Mapping[str, Mapping[str, Sequence]],
+           digits: int = 4, **kw) -> tuple[DataFrame, dict]:
+    """All scenarios on the same folds. Returns the table (scenario, params, f1, f1_sd, best),
+    best first, and the parameters of the best set, for a refit."""
+    sets = [(name, s) for name, grid in scenarios.items() for s in parameter_sets(grid)]
+    scores = cross_validate(train, cols, make, [s for _, s in sets], **kw)
+    rows = [(name, str(sorted(s.items())), float(np.mean(f)), float(np.std(f, ddof=1))) for (name, s), f in zip(sets, scores)]
+    top = max(range(len(rows)), key=lambda i: rows[i][2])
+    df = train.sparkSession.createDataFrame([(*r, i == top) for i, r in enumerate(rows)],
+                                            "scenario string, params string, f1 double, f1_sd double, best boolean")
+    table = df.select("scenario", "params", F.round("f1", digits).alias("f1"), F.round("f1_sd", digits).alias("f1_sd"), "best")
+    return table.orderBy(F.desc("best"), F.desc("f1"), "scenario", "params"), sets[top][1]
 
 
 def fit(train: DataFrame, cols: Sequence[str], est, label: str = "label") -> PipelineModel:
@@ -141,7 +157,6 @@ def sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
     """Repartition an iterative algorithm's input by row count (about 100 MB of 64-dim
     doubles per partition): every iteration is a job, so tiny partitions only add task
     overhead, while large inputs still get one task per 200k rows."""
-    import math
     n = df.count()
     return df.repartition(max(1, math.ceil(n / rows_per_partition)))
 
@@ -153,6 +168,39 @@ def kmeans(df: DataFrame, k: int, init: str = "k-means||", seed: int = 42, max_i
     return m, m.transform(df)
 
 
+def table_scores(cells: Sequence[tuple[object, object, int]]) -> dict:
+    """N8-N10 from one cluster x class count (clusters x classes cells): purity, ARI, sizes."""
+    pairs = lambda xs: sum(x * (x - 1) / 2 for x in xs)
+    rows: dict = {}
+    cols: dict = {}
+    for a, b, n in cells:
+        rows.setdefault(a, []).append(n)
+        cols.setdefault(b, []).append(n)
+    sizes = [sum(v) for v in rows.values()]
+    total = sum(sizes)
+    si, sj, sij = pairs(sizes), pairs([sum(v) for v in cols.values()]), pairs([n for *_, n in cells])
+    expected = si * sj / max(pairs([total]), 1.0)
+    top = 0.5 * (si + sj) - expected
+    return {"purity": round(sum(max(v) for v in rows.values()) / total, 4), "ari": round((sij - expected) / top, 4) if top else 1.0,
+            "smallest": min(sizes), "largest": max(sizes)}
+
+
+def clustered(df: DataFrame, k: int, label: str = "label", features: str = "features", **kw) -> tuple[object, DataFrame, dict]:
+    """One k-means solution with N4, N6 and N8-N10: SSE from the fit's summary, the silhouette, and
+    one cluster x class count for the rest."""
+    model, assigned = kmeans(df, k, features=features, **kw)
+    sse = float(model.summary.trainingCost)
+    cells = [(r[0], r[1], r[2]) for r in assigned.groupBy("prediction", label).count().collect()]
+    return model, assigned, {"k": k, "W": round(2 * sse, 1), "SSE": round(sse, 1), "silhouette": round(silhouette_sq(assigned, features), 4),
+                             **table_scores(cells)}
+
+
+def sweep(df: DataFrame, ks: Sequence[int], parallelism: int = 4, **kw) -> list[dict]:
+    """The facts of one solution for each k, fitted from a small pool."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(lambda k: clustered(df, k, **kw)[2], ks)
+
+
 def silhouette_sq(assigned: DataFrame, features: str = "features") -> float:
     """Mean squared-Euclidean silhouette (Spark's evaluator)."""
     return ClusteringEvaluator(featuresCol=features, predictionCol="prediction").evaluate(assigned)

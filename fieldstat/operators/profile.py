@@ -8,17 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def n_rows(df: DataFrame) -> DataFrame:
-    """D1."""
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
-def n_distinct(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
-    """Exact distinct count (two-phase aggregate, no single-task gather)."""
-    cols = [cols] if isinstance(cols, str) else list(cols)
-    return df.select(*cols).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
-
-
 def value_counts(df: DataFrame, cols: str | Sequence[str], digits: int = 4) -> DataFrame:
     """Counts per value, most frequent first, with the share of all rows.
     The total is a scalar subquery, not a window over the whole result."""

@@ -13,20 +13,23 @@ Used by: stratified split (E4), stratified folds (E9), round-robin budget
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import normal_quantile_sql
+from fieldstat.operators.basic import null_safe_join
 from fieldstat.session import materialise
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
 def _buckets(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return buckets
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, 2 * n)
+    """Enough buckets that none holds much over ``ROWS_PER_BUCKET`` rows (the order is total)."""
+    return buckets or max(8, math.ceil(df.count() / ROWS_PER_BUCKET))
 
 
 def running_total(df: DataFrame, order: Sequence[Column | str], groups: Sequence[str] = (),
@@ -35,7 +38,9 @@ def running_total(df: DataFrame, order: Sequence[Column | str], groups: Sequence
     """Running count (``value`` None: a row number) or running sum of ``value`` within
     ``groups`` in the total order ``order`` (give a unique tie-break for determinism).
 
-    ``total`` names an optional column with the group's grand total.
+    NULL is a group of its own. ``total`` names an optional column with the
+    group's grand total. A range partitioning cannot split equal order keys, so
+    callers that need order statistics only count equal values first.
     """
     groups = list(groups)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
@@ -56,14 +61,14 @@ def running_total(df: DataFrame, order: Sequence[Column | str], groups: Sequence
     inner = (Window.partitionBy(*groups, "_b").orderBy(*order)
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_in", F.sum("_v").over(inner))
-    res = local.join(stats, [*groups, "_b"])
+    res = null_safe_join(local, stats, [*groups, "_b"])
     run = F.col("_before") + F.col("_in")
     if exclusive:
         run = run - F.col("_v")
     res = res.withColumn(out, run)
     if total:
         res = res.withColumn(total, F.col("_total"))
-    return res.drop("_v", "_b", "_s", "_before", "_in", "_total")
+    return res.drop("_v", "_b", "_before", "_in", "_total")
 
 
 def stratified_split(df: DataFrame, cls: str, share: float = 0.8, key: Column | None = None,
@@ -89,15 +94,22 @@ def stratified_folds(df: DataFrame, cls: str, k: int = 10, key: Column | None =
 
 
 def round_robin_budget(df: DataFrame, group: str, order: Sequence[Column | str], size: str,
-                       budget: float, out_rank: str = "round") -> DataFrame:
+                       budget: float, out_rank: str = "round",
+                       group_order: Sequence[str] | None = None) -> DataFrame:
     """Take the i-th item of every group in turn until the running size reaches
     the budget; an item is taken when the total *before* it is below the budget.
-    Items of size 0 (or NULL) are skipped."""
-    items = df.where(F.col(size) > 0)
-    ranked = running_total(items, order, [group], out=out_rank)
-    ordered = running_total(ranked, [F.col(out_rank), F.col(group)], value=F.col(size).cast("double"),
+
+    All items are numbered; those of size 0 (or NULL) keep their turn, add
+    nothing and are not taken. Groups take turns in ``group_order``, groups it
+    does not list (or all, without it) after that by value, NULL first.
+    """
+    ranked = running_total(df, order, [group], out=out_rank)
+    listed = F.array_position(F.array(*[F.lit(g) for g in group_order]), F.col(group)) if group_order else F.lit(1)
+    ranked = ranked.withColumn("_turn", F.when(listed > 0, listed).otherwise(F.lit(len(group_order or ()) + 1)))
+    ordered = running_total(ranked, [F.col(out_rank), F.col("_turn"), F.col(group)],
+                            value=F.greatest(F.coalesce(F.col(size).cast("double"), F.lit(0.0)), F.lit(0.0)),
                             out="size_before", exclusive=True)
-    return ordered.where(F.col("size_before") < F.lit(float(budget)))
+    return ordered.where((F.col("size_before") < F.lit(float(budget))) & (F.col(size) > 0)).drop("_turn")
 
 
 def profile_index(df: DataFrame, group: str, value: str, tiebreak: str,
@@ -106,14 +118,29 @@ def profile_index(df: DataFrame, group: str, value: str, tiebreak: str,
     return running_total(df, [F.col(group), F.col(value).desc(), F.col(tiebreak)], out=out)
 
 
+CHUNK = 100_000
+
+
+def _counted(df: DataFrame, value: str, groups: Sequence[str]) -> DataFrame:
+    """Distinct values with their counts: a value that a third of all rows hold is one row."""
+    return (df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_x"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+
+
 def qq_pairs(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
     """Sorted sample values against normal quantiles of the plotting positions
-    (i - a) / (n + 1 - 2a), a = 3/8 for n <= 10 else 1/2."""
-    src = df.where(F.col(col).isNotNull()).select(*groups, F.col(col).alias("sample"))
-    r = running_total(src, ["sample"], groups, out="i", total="n")
+    (i - a) / (n + 1 - 2a), a = 3/8 for n <= 10 else 1/2.
+
+    Equal values are ranked as one row with a count and unfolded in chunks of
+    at most ``CHUNK`` positions afterwards."""
+    r = running_total(_counted(df, col, groups), ["_x"], groups, value=F.col("_c"), out="_start", total="n", exclusive=True)
+    r = r.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_c") - 1, F.lit(CHUNK).cast("bigint"))))
+    r = r.withColumn("_to", F.least(F.col("_from") + CHUNK, F.col("_c")) - 1)
+    spread = r.repartition(F.col("_x"), F.col("_from"))
+    r = spread.withColumn("i", F.explode(F.sequence(F.col("_start") + F.col("_from") + 1, F.col("_start") + F.col("_to") + 1)))
     a = F.when(F.col("n") <= 10, F.lit(0.375)).otherwise(F.lit(0.5))
     r = r.withColumn("_p", (F.col("i") - a) / (F.col("n") + 1 - 2 * a))
-    return r.select(*groups, "i", "n", "sample",
+    return r.select(*groups, "i", "n", F.col("_x").alias("sample"),
                     F.expr(normal_quantile_sql("_p")).alias("theoretical"))
 
 
@@ -121,20 +148,25 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     groups: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles (R type 7 / Spark ``percentile``) per group, by distributed ranking:
     h = (n - 1) p + 1, interpolate between order statistics floor(h) and ceil(h).
-    Only the needed order statistics leave the ranking step."""
+
+    Only distinct values are ranked, each with its count, so hot values cost
+    one row; only the needed order statistics leave the ranking step. NULL is
+    a group of its own; a group without values has no row."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    src = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_x"))
-    r = running_total(src, ["_x"], groups, out="_i", total="_n")
+    src = _counted(df.withColumn(value, F.col(value).cast("double")), value, groups)
+    r = running_total(src, ["_x"], groups, value=F.col("_c"), out="_end", total="_n")
+    first, last = F.col("_end") - F.col("_c") + 1, F.col("_end")
     hs = [(F.col("_n") - 1) * F.lit(float(p)) + 1 for p in probs]
-    keep = None
+
+    def holds(h: Column) -> Column:
+        return (h >= first) & (h <= last)
+
+    keep = F.lit(False)
     for h in hs:
-        c = (F.col("_i") == F.floor(h)) | (F.col("_i") == F.ceil(h))
-        keep = c if keep is None else keep | c
-    picked = r.where(keep)
+        keep = keep | holds(F.floor(h)) | holds(F.ceil(h))
     aggs = []
     for name, h in zip(names, hs):
-        lo = F.max(F.when(F.col("_i") == F.floor(h), F.col("_x")))
-        hi = F.max(F.when(F.col("_i") == F.ceil(h), F.col("_x")))
-        frac = F.max(h - F.floor(h))
-        aggs.append((lo + frac * (hi - lo)).alias(name))
-    return picked.groupBy(*groups).agg(*aggs) if groups else picked.agg(*aggs)
+        lo = F.max(F.when(holds(F.floor(h)), F.col("_x")))
+        hi = F.max(F.when(holds(F.ceil(h)), F.col("_x")))
+        aggs.append((lo + F.max(h - F.floor(h)) * (hi - lo)).alias(name))
+    return r.where(keep).groupBy(*groups).agg(*aggs) if groups else r.where(keep).agg(*aggs)

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from fieldstat.functions.columns import ordinal, recode
 
 
-def recode_case(df: DataFrame, col: str, groups: Mapping[str, Sequence[str]], out: str) -> DataFrame:
-    """Searched CASE, unmapped values -> NULL."""
-    return df.withColumn(out, recode(col, groups))
-
-
 def mapping_table(spark: SparkSession, groups: Mapping[str, Sequence[str]],
                   key: str = "value", label: str = "label") -> DataFrame:
     rows = [(v, lab) for lab, values in groups.items() for v in values]
@@ -36,11 +31,3 @@ def recode_lookup(spark: SparkSession, df: DataFrame, col: str,
 def ordinal_label(df: DataFrame, col: str, levels: Sequence[str], out: str) -> DataFrame:
     """Ordered categories as a 1-based rank column (sort by it)."""
     return df.withColumn(out, ordinal(col, levels))
-
-
-def decode_labels(pred: DataFrame, labels: Sequence[str], index_col: str = "prediction",
-                  out: str = "predicted_label") -> DataFrame:
-    """Index -> label. ``labels`` is the fitted indexer's label list (one entry per
-    class), applied as an array lookup, so no join is needed."""
-    arr = F.array(*[F.lit(x) for x in labels])
-    return pred.withColumn(out, F.get(arr, F.col(index_col).cast("int")))

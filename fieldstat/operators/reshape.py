@@ -13,24 +13,3 @@ def melt(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var: str = "fea
     """H1/H3: wide to long (``unpivot``); values cast to one type."""
     src = df.select(*ids, *[F.col(c).cast(cast).alias(c) if cast else F.col(c) for c in cols])
     return src.unpivot(list(ids), list(cols), var, val)
-
-
-def widen(df: DataFrame, row: str | Sequence[str], col: str, value: str,
-          levels: Sequence | None = None, fill=0) -> DataFrame:
-    """H2: long to wide; give ``levels`` so the pivot needs no extra distinct pass."""
-    rows = [row] if isinstance(row, str) else list(row)
-    p = df.groupBy(*rows).pivot(col, list(levels) if levels is not None else None).agg(F.sum(value))
-    return p.na.fill(fill) if fill is not None else p
-
-
-def split_vector(df: DataFrame, col: str, prefix: str, n: int) -> DataFrame:
-    """H4: vector (or array) column to numbered scalar columns."""
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(F.col(col)) if dict(df.dtypes)[col] == "vector" else F.col(col)
-    return df.select("*", *[F.get(arr, i).alias(f"{prefix}{i}") for i in range(n)])
-
-
-def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    """H5: scalar columns to one dense vector."""
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn(out, array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])))

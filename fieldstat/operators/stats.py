@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import ordinal
+from fieldstat.operators.basic import null_safe_join
 from fieldstat.operators.ranking import exact_quantiles
 from fieldstat.operators.reshape import melt
 
+PAIRS_AT_ONCE = 60
+
 
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
     """Mean, median, sd, min, max, skewness (type 3 = population skewness ·
@@ -54,10 +57,11 @@ def crosstab(df: DataFrame, a: str, b: str, levels: Sequence | None = None,
 
 
 def argmax(df: DataFrame, by: str, ret: Sequence[str], minimum: bool = False) -> DataFrame:
-    """The row with the largest (or smallest) ``by``; ``max_by`` keeps it a plain aggregate."""
-    f = F.min_by if minimum else F.max_by
-    return df.agg(*[f(F.col(r), F.col(by)).alias(r) for r in ret],
-                  (F.min(by) if minimum else F.max(by)).alias(by))
+    """The row with the largest (or smallest) ``by``; ties go to the smallest ``ret``
+    values. One aggregate of one struct, so all values come from the same row."""
+    key = F.col(by) if minimum else -F.col(by)
+    best = F.min(F.when(F.col(by).isNotNull(), F.struct(key.alias("_k"), *[F.col(r).alias(r) for r in ret], F.col(by).alias("_by"))))
+    return df.agg(best.alias("_b")).select(*[F.col(f"_b.{r}").alias(r) for r in ret], F.col("_b._by").alias(by))
 
 
 def argmax_per_group(df: DataFrame, key: str, by: str, tiebreak: str,
@@ -72,33 +76,34 @@ def argmax_per_group(df: DataFrame, key: str, by: str, tiebreak: str,
 
 
 def spread(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Min, max, range and exact median of a column."""
+    """Min, max, range and exact median of a column; NULL is a group of its own."""
     base = (df.groupBy(*groups) if groups else df.groupBy()).agg(
         F.min(col).alias("min"), F.max(col).alias("max"), (F.max(col) - F.min(col)).alias("range"))
     med = exact_quantiles(df, col, [0.5], groups, ["median"])
     if groups:
-        return base.join(med, list(groups), "left")
+        return null_safe_join(base, med, list(groups), "left")
     return base.withColumn("median", med.select("median").scalar())
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
-    """D24 (+H3): Pearson correlations of all pairs in ONE aggregate, as (row, col, value)."""
+    """D24 (+H3): Pearson correlations of all pairs, as (row, col, value).
+
+    One aggregate holds the pairs of a few columns at most (``PAIRS_AT_ONCE``),
+    so that its code stays small enough to be compiled."""
     cols = list(cols)
-    aggs = []
-    names = []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            n = f"{a}__{b}"
-            names.append((a, b, n))
-            aggs.append(F.corr(a, b).alias(n))
-    wide = df.agg(*aggs)
-    long = wide.unpivot([], [n for *_, n in names], "pair", "value")
-    ab = F.split(F.col("pair"), "__")
-    upper = long.select(F.get(ab, 0).alias("row"), F.get(ab, 1).alias("col"), "value")
-    lower = upper.select(F.col("col").alias("row"), F.col("row").alias("col"), "value")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    parts = []
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        some = pairs[at:at + PAIRS_AT_ONCE]
+        one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(some)])
+        listed = F.array(*[F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"c{i}").alias("value"))
+                           for i, (a, b) in enumerate(some)])
+        parts.append(one.select(F.inline(listed)))
     spark = df.sparkSession
     diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "row string, col string, value double")
-    out = upper.unionByName(lower).unionByName(diag)
+    out = diag
+    for upper in parts:
+        out = out.unionByName(upper).unionByName(upper.select(F.col("col").alias("row"), F.col("row").alias("col"), "value"))
     return out.withColumn("value", F.round("value", digits)) if digits is not None else out
 
 
@@ -115,29 +120,29 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], bound: float | None = 0.8,
 def anova_f(df: DataFrame, cols: Sequence[str], cls: str, digits: int = 1) -> DataFrame:
     """One-way ANOVA F per feature against a class, ranked.
 
-    Per (feature, class): n, mean, variance; per feature: SSB = Σn·m² - (Σn·m)²/N,
-    SSW = Σ(n-1)·v, F = [SSB/(k-1)] / [SSW/(N-k)]. Two aggregates, no gather.
+    Per (feature, class): n, mean m, variance v; M is the feature's mean, found
+    first; SSB = sum n (m - M)^2, SSW = sum (n - 1) v, F = [SSB/(k-1)] / [SSW/(N-k)].
+    No difference of large sums is taken, so large means lose no digits.
     """
     long = melt(df, [cls], cols)
     per = long.groupBy("feature", cls).agg(
-        F.count("value").alias("n"), F.avg("value").alias("m"), F.var_samp("value").alias("v"))
-    f = per.groupBy("feature").agg(
+        F.count("value").alias("n"), F.avg("value").alias("m"), F.var_samp("value").alias("v")).where("n > 0")
+    whole = per.groupBy("feature").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mu"))
+    f = per.join(whole, "feature").groupBy("feature").agg(
         F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
-        F.sum(F.col("n") * F.col("m")).alias("S"), F.sum(F.col("n") * F.col("m") * F.col("m")).alias("Q"),
+        F.sum(F.col("n") * (F.col("m") - F.col("mu")) * (F.col("m") - F.col("mu"))).alias("SSB"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("v"), F.lit(0.0))).alias("SSW"))
-    ssb = F.col("Q") - F.col("S") * F.col("S") / F.col("N")
-    fval = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(F.col("SSW"), F.col("N") - F.col("k")))
+    fval = F.try_divide(F.try_divide(F.col("SSB"), F.col("k") - 1), F.try_divide(F.col("SSW"), F.col("N") - F.col("k")))
     return (f.select("feature", F.round(fval, digits).alias("f_value"))
              .orderBy(F.desc_nulls_last("f_value"), "feature"))
 
 
 def split_balance(train: DataFrame, test: DataFrame, cls: str, digits: int = 3) -> DataFrame:
-    """Per class: total, train, test and the train share."""
-    a = train.groupBy(cls).agg(F.count(F.lit(1)).alias("train"))
-    b = test.groupBy(cls).agg(F.count(F.lit(1)).alias("test"))
-    j = a.join(b, cls, "full").na.fill(0, ["train", "test"])
-    return j.select(cls, (F.col("train") + F.col("test")).alias("total"), "train", "test",
-                    F.round(F.col("train") / (F.col("train") + F.col("test")), digits).alias("train_share"))
+    """Per class (NULL is one): total, train, test and the train share."""
+    sides = train.select(cls, F.lit(1).alias("_t")).unionByName(test.select(cls, F.lit(0).alias("_t")))
+    j = sides.groupBy(cls).agg(F.count(F.lit(1)).alias("total"), F.sum("_t").cast("bigint").alias("train"))
+    return j.select(cls, "total", "train", (F.col("total") - F.col("train")).alias("test"),
+                    F.round(F.col("train") / F.col("total"), digits).alias("train_share"))
 
 
 def dominant(df: DataFrame, key: str, cls: str, digits: int = 4) -> DataFrame:
@@ -177,25 +182,30 @@ def adjacent_error_share(pairs: DataFrame, digits: int = 4) -> DataFrame:
                       .alias("adjacent_share"))
 
 
-def share_of(df: DataFrame, num: Column, digits: int = 4) -> DataFrame:
-    return df.agg(F.round(F.avg(num.cast("double")), digits).alias("share"))
+RESULT_ROWS = 100_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A result table, at most ``RESULT_ROWS`` rows: checked, as it is then ordered in one task."""
+    found = df.limit(RESULT_ROWS + 1).count()
+    if found > RESULT_ROWS:
+        raise ValueError(f"more than {RESULT_ROWS} rows; use ranking.running_total for a table of data")
+    return df
 
 
 def relative_drop(df: DataFrame, order: str, col: str, out: str = "drop_pct", digits: int = 1) -> DataFrame:
     """E5: percent drop to the previous row, e.g. the elbow table of a k sweep.
-    Runs over result tables that are small by design (one row per k / per day)."""
-    from pyspark.sql import Window
+    For result tables (one row per k / per day); their size is checked."""
     prev = F.lag(col).over(Window.orderBy(order))
-    return df.withColumn(out, F.round(F.lit(100.0) * (prev - F.col(col)) / prev, digits))
+    return _small(df).withColumn(out, F.round(F.lit(100.0) * (prev - F.col(col)) / prev, digits))
 
 
 def first_reaching(df: DataFrame, order: Sequence[Column], col: str, bound: float,
                    digits: int = 4) -> DataFrame:
     """Rank, cumulative share, and a flag on the first rank whose cumulative share
-    reaches ``bound``. For ranked result tables (importances, explained variance)."""
-    from pyspark.sql import Window
+    reaches ``bound``. For ranked result tables (importances, explained variance); their size is checked."""
     w = Window.orderBy(*order)
-    r = (df.withColumn("rank_", F.row_number().over(w).cast("bigint"))
+    r = (_small(df).withColumn("rank_", F.row_number().over(w).cast("bigint"))
            .withColumn("_cum", F.sum(col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                        / F.sum(col).over(Window.partitionBy())))
     first = F.min(F.when(F.col("_cum") >= bound, F.col("rank_"))).over(Window.partitionBy())

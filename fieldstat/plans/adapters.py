@@ -106,12 +106,3 @@ def substitutions(layer: DataFrame, marker: str = "purchase") -> DataFrame:
     return first.select("match_id", F.col("player_id").alias("off_id"),
                         F.col("f.k").cast("bigint").alias("on_id"), "team_name",
                         F.col("f.t").alias("sub_sec"))
-
-
-def modelling_set(spark: SparkSession, sf_dir: str, dims: int | None = None) -> DataFrame:
-    """``embeddings`` as the modelling set: id, class label (string) and f0..f{d-1}."""
-    emb = table(spark, sf_dir, "embeddings")
-    d = dims or 64
-    return emb.select(F.col("vec_id").alias("id"),
-                      F.concat(F.lit("L"), F.col("label").cast("string")).alias("label"),
-                      *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(d)])

@@ -12,7 +12,8 @@ from fieldstat.plans import oracle_sql as O
 from fieldstat.plans.adapters import table
 from fieldstat.plans.features import layer
 from fieldstat.plans.registry import query
-from fieldstat.sources.io import dataset_size, manifest, union_available
+from fieldstat.session import shared_dir
+from fieldstat.sources.io import bounded, dataset_size, manifest, register, union_available, write_parquet
 
 LAYER_COLS = ["match_id", "minute", "second", "event_type", "player_id", "player_name", "team_name",
               "position_name", "pass_outcome", "pass_length", "pass_goal_assist", "pass_shot_assist",
@@ -20,6 +21,7 @@ LAYER_COLS = ["match_id", "minute", "second", "event_type", "player_id", "player
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 RR_BUDGET = 500_000_000.0
+RR_ORDER = PRIORITIES[::-1]
 
 
 def _r6(c):
@@ -85,6 +87,57 @@ def q_n_distinct(spark, sf_dir):
                   F.count_distinct("l_partkey").alias("n_parts"))
 
 
+@query("numeric_columns", """
+WITH w AS (SELECT COUNT(*) AS n, COUNT(DISTINCT c_nationkey) AS c_nationkey, COUNT(DISTINCT c_acctbal) AS c_acctbal FROM customer)
+SELECT n, c_nationkey, c_acctbal FROM w""")
+def q_numeric_columns(spark, sf_dir):
+    """The numeric columns but the key, a generated expression for each, selected by a list
+    that also names a column the table does not have."""
+    c = table(spark, sf_dir, "customer")
+    names = basic.numeric_features(c, exclude=["c_custkey"])
+    found = c.agg(F.count(F.lit(1)).alias("n"), *basic.per_column(names, lambda x: F.count_distinct(F.col(x))))
+    return basic.select_available(found, ["n", *names, "c_height"])
+
+
+@query("suffixes", """
+SELECT n.n_nationkey, r.r_regionkey, n.comment AS comment_x, r.comment AS comment_y
+FROM (SELECT n_nationkey, n_regionkey, n_name AS comment FROM nation) n
+JOIN (SELECT r_regionkey, r_name AS comment FROM region) r ON r.r_regionkey = n.n_regionkey""")
+def q_suffixes(spark, sf_dir):
+    """Colliding column names of both sides of a join get suffixes."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").alias("key"), F.col("n_name").alias("comment"))
+    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("comment"))
+    a, b = basic.suffix_collisions(n, r, ["key"])
+    return a.join(b, "key").select("n_nationkey", F.col("key").alias("r_regionkey"), "comment_x", "comment_y")
+
+
+@query("string_functions", """
+SELECT c_custkey, regexp_replace(c_name, '[^0-9]+', '', 'g') AS digits, regexp_matches(c_mktsegment, '^(AUTO|MACH)') AS engines,
+       printf('%s / %d', c_mktsegment, c_nationkey) AS tag FROM customer""")
+def q_string_functions(spark, sf_dir):
+    """regexp_replace, rlike, format_string."""
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", F.regexp_replace("c_name", "[^0-9]+", "").alias("digits"), F.col("c_mktsegment").rlike("^(AUTO|MACH)").alias("engines"),
+        F.format_string("%s / %d", "c_mktsegment", "c_nationkey").alias("tag"))
+
+
+@query("view_bounded", """
+SELECT c_mktsegment, COUNT(*) AS n FROM customer GROUP BY 1""")
+def q_view_bounded(spark, sf_dir):
+    """A named relation queried by SQL, its small result collected within a checked bound."""
+    register(table(spark, sf_dir, "customer"), "customer_relation")
+    small = spark.sql("SELECT c_mktsegment, COUNT(*) AS n FROM customer_relation GROUP BY c_mktsegment")
+    return spark.createDataFrame(bounded(small, 1000), "c_mktsegment string, n long")
+
+
+@query("parquet_files", "SELECT 3 AS files, COUNT(*) AS rows FROM orders")
+def q_parquet_files(spark, sf_dir):
+    """A5: a stated number of Parquet files."""
+    path = write_parquet(table(spark, sf_dir, "orders").select("o_orderkey"), shared_dir(spark, "files"), files=3)
+    back = spark.read.parquet(path)
+    return back.agg(F.count_distinct(F.col("_metadata.file_path")).cast("int").alias("files"), F.count(F.lit(1)).alias("rows"))
+
+
 @query("dataset_size")
 def q_dataset_size(spark, sf_dir):
     """Files and bytes of the input tables, from file metadata only."""
@@ -142,8 +195,7 @@ def q_spread(spark, sf_dir):
 
 
 @query("argmax", """
-SELECT arg_max(o_orderkey, o_totalprice) AS o_orderkey, arg_max(o_custkey, o_totalprice) AS o_custkey,
-       MAX(o_totalprice) AS o_totalprice FROM orders""")
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey, o_custkey LIMIT 1""")
 def q_argmax(spark, sf_dir):
     """The row with the extreme value (max_by)."""
     return S.argmax(table(spark, sf_dir, "orders"), "o_totalprice", ["o_orderkey", "o_custkey"])
@@ -206,23 +258,24 @@ def q_corr_matrix(spark, sf_dir):
     return S.corr_matrix(table(spark, sf_dir, "lineitem"), LI_NUM)
 
 
-_CP_COLS = LI_NUM + ["l_linenumber"]
+_CP_COLS = LI_NUM + ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
 @query("corr_pairs", "WITH u AS (" + _corr_sql(sorted(_CP_COLS), "lineitem") + """)
-SELECT row, col, ROUND(v, 4) AS r FROM u WHERE abs(v) > 0.0""")
+SELECT row, col, ROUND(v, 4) AS r FROM u WHERE abs(v) > 0.1""")
 def q_corr_pairs(spark, sf_dir):
     """D25 (+B17): each unordered pair once with |r| above a bound."""
-    return S.corr_pairs(table(spark, sf_dir, "lineitem"), _CP_COLS, bound=0.0)
+    return S.corr_pairs(table(spark, sf_dir, "lineitem"), _CP_COLS, bound=0.1)
 
 
 @query("anova_f", "WITH u AS (UNPIVOT (SELECT l_returnflag, " + ", ".join(
     f"CAST({c} AS DOUBLE) AS {c}" for c in LI_NUM) + " FROM lineitem) ON " + ", ".join(LI_NUM)
     + """ INTO NAME feature VALUE value),
-g AS (SELECT feature, l_returnflag, COUNT(value) AS n, AVG(value) AS m, VAR_SAMP(value) AS v FROM u GROUP BY 1, 2),
-f AS (SELECT feature, SUM(n) AS nn, COUNT(*) AS k, SUM(n * m) AS s, SUM(n * m * m) AS q,
-             SUM((n - 1) * COALESCE(v, 0)) AS ssw FROM g GROUP BY 1)
-SELECT feature, ROUND(((q - s * s / nn) / (k - 1)) / (ssw / (nn - k)), 1) AS f_value FROM f""")
+o AS (SELECT feature, AVG(value) AS mu, COUNT(value) AS nn, COUNT(DISTINCT l_returnflag) AS k FROM u GROUP BY 1),
+g AS (SELECT feature, l_returnflag, AVG(value) AS m FROM u GROUP BY 1, 2),
+f AS (SELECT u.feature, SUM((m - mu) * (m - mu)) AS between_, SUM((value - m) * (value - m)) AS within_, MAX(nn) AS nn, MAX(k) AS k
+      FROM u JOIN g USING (feature, l_returnflag) JOIN o ON o.feature = u.feature GROUP BY u.feature)
+SELECT feature, ROUND((between_ / (k - 1)) / (within_ / (nn - k)), 1) AS f_value FROM f""")
 def q_anova_f(spark, sf_dir):
     """One-way ANOVA F per feature against a class."""
     return S.anova_f(table(spark, sf_dir, "lineitem"), LI_NUM, "l_returnflag")
@@ -283,10 +336,23 @@ def q_box_stats(spark, sf_dir):
                     "lower_whisker", "upper_whisker", F.col("outliers").cast("bigint").alias("outliers"), "n")
 
 
-@query("kde")
+@query("kde", """
+WITH v AS (SELECT CAST(o_totalprice AS DOUBLE) / 1000 AS x FROM orders WHERE o_totalprice IS NOT NULL),
+a AS (SELECT MIN(x) AS mn, MAX(x) AS mx, COUNT(*) AS n, STDDEV_SAMP(x) AS sd,
+             quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM v),
+b AS (SELECT *, 0.9 * LEAST(sd, iqr / 1.34) * pow(n, -0.2) AS bw FROM a),
+p AS (SELECT *, mn - 3 * bw AS lo, (mx - mn + 6 * bw) / 511 AS step FROM b),
+w AS (SELECT j, SUM(wt) AS wt FROM (
+        SELECT UNNEST([FLOOR((x - lo) / step), FLOOR((x - lo) / step) + 1]) AS j,
+               UNNEST([1 - ((x - lo) / step - FLOOR((x - lo) / step)), (x - lo) / step - FLOOR((x - lo) / step)]) AS wt FROM v, p)
+      GROUP BY j)
+SELECT CAST(g AS INTEGER) AS g, ROUND(lo + g * step, 6) AS x,
+       ROUND(SUM(wt * exp(-pow((g - j) * step / bw, 2) / 2)) / (n * bw * sqrt(2 * pi())), 6) AS density
+FROM range(512) r(g), w, p GROUP BY g, lo, step, bw, n""")
 def q_kde(spark, sf_dir):
-    """Gaussian kernel density of order prices on a 512-point grid."""
-    return D.kde(table(spark, sf_dir, "orders"), "o_totalprice")
+    """Gaussian kernel density of order prices (in thousands) on a 512-point grid."""
+    o = table(spark, sf_dir, "orders").select((F.col("o_totalprice").cast("double") / 1000).alias("x"))
+    return D.kde(o, "x").select("g", _r6("x").alias("x"), _r6("density").alias("density"))
 
 
 @query("composition", O.with_(O.EV) + f"""
@@ -351,15 +417,17 @@ def q_first_reaching(spark, sf_dir):
 @query("round_robin_budget", f"""
 WITH r AS (SELECT o_orderpriority, o_orderkey, o_totalprice,
                   ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS round
-           FROM orders WHERE o_totalprice > 0),
-c AS (SELECT *, SUM(o_totalprice) OVER (ORDER BY round, o_orderpriority ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                - o_totalprice AS size_before FROM r)
+           FROM (SELECT o_orderpriority, o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders)),
+c AS (SELECT *, SUM(o_totalprice) OVER (ORDER BY round, list_position({RR_ORDER}, o_orderpriority)
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - o_totalprice AS size_before FROM r)
 SELECT o_orderpriority, o_orderkey, o_totalprice, round, ROUND(size_before, 2) AS size_before
-FROM c WHERE size_before < {RR_BUDGET}""")
+FROM c WHERE size_before < {RR_BUDGET} AND o_totalprice > 0""")
 def q_round_robin_budget(spark, sf_dir):
-    """Round-robin budgeted selection across groups (distributed running totals)."""
-    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
-    sel = R.round_robin_budget(o, "o_orderpriority", ["o_orderkey"], "o_totalprice", RR_BUDGET)
+    """Round-robin budgeted selection across groups in a listed order (distributed running
+    totals); every seventh order weighs nothing, keeps its turn and is not taken."""
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", F.when(
+        F.col("o_orderkey") % 7 == 0, 0.0).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    sel = R.round_robin_budget(o, "o_orderpriority", ["o_orderkey"], "o_totalprice", RR_BUDGET, group_order=RR_ORDER)
     return sel.withColumn("size_before", F.round("size_before", 2))
 
 
@@ -407,6 +475,58 @@ def q_split_balance(spark, sf_dir):
     return S.split_balance(s.where("is_train"), s.where("NOT is_train"), "label")
 
 
+# The same with NULL groups: every value of one class or flag becomes NULL, which is a group of its own.
+
+@query("stratified_split_nulls", f"""
+SELECT vec_id, NULLIF(label, 3) AS label,
+       PERCENT_RANK() OVER (PARTITION BY NULLIF(label, 3) ORDER BY {_SPLIT_KEY}) <= 0.8 AS is_train FROM embeddings""")
+def q_stratified_split_nulls(spark, sf_dir):
+    """E4 with a NULL class."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.nullif(F.col("label"), F.lit(3)).alias("label"))
+    return R.stratified_split(e, "label", 0.8, key=F.md5(F.col("vec_id").cast("string")))
+
+
+@query("stratified_folds_nulls", f"""
+SELECT vec_id, NULLIF(label, 3) AS label,
+       CAST((ROW_NUMBER() OVER (PARTITION BY NULLIF(label, 3) ORDER BY {_SPLIT_KEY}) - 1) % 10 AS INTEGER) AS fold FROM embeddings""")
+def q_stratified_folds_nulls(spark, sf_dir):
+    """E9 with a NULL class."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.nullif(F.col("label"), F.lit(3)).alias("label"))
+    return R.stratified_folds(e, "label", 10, key=F.md5(F.col("vec_id").cast("string")))
+
+
+@query("spread_nulls", """
+SELECT NULLIF(l_returnflag, 'N') AS flag, MIN(l_discount) AS min, MAX(l_discount) AS max, MAX(l_discount) - MIN(l_discount) AS range,
+       ROUND(quantile_cont(l_discount, 0.5), 6) AS median FROM lineitem GROUP BY 1""")
+def q_spread_nulls(spark, sf_dir):
+    """D23 with a NULL group and a column of few, hot values."""
+    li = table(spark, sf_dir, "lineitem").select(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), "l_discount")
+    return S.spread(li, "l_discount", ["flag"]).withColumn("median", _r6("median"))
+
+
+@query("box_stats_nulls", """
+WITH f AS (SELECT COALESCE(NULLIF(l_returnflag, 'N'), '') AS flag, l_extendedprice AS x FROM lineitem WHERE l_extendedprice IS NOT NULL),
+q AS (SELECT flag, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q3 FROM f GROUP BY 1)
+SELECT NULLIF(flag, '') AS flag, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3,
+       MIN(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1)) AS lower_whisker, MAX(x) FILTER (WHERE x <= q3 + 1.5 * (q3 - q1)) AS upper_whisker,
+       COUNT(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS outliers, COUNT(*) AS n
+FROM f JOIN q USING (flag) GROUP BY flag, q1, median, q3""")
+def q_box_stats_nulls(spark, sf_dir):
+    """J4 with a NULL group."""
+    li = table(spark, sf_dir, "lineitem").select(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), "l_extendedprice")
+    b = D.box_stats(li, "flag", "l_extendedprice")
+    return b.select("flag", *[_r6(c).alias(c) for c in ("q1", "median", "q3")], "lower_whisker", "upper_whisker",
+                    F.col("outliers").cast("bigint").alias("outliers"), "n")
+
+
+@query("split_shares", """
+SELECT label, COUNT(*) AS total, CAST(FLOOR(0.8 * (COUNT(*) - 1)) + 1 AS BIGINT) AS train FROM embeddings GROUP BY 1""")
+def q_split_shares(spark, sf_dir):
+    """E4, S6 with the default rand(seed) key: class sizes and train sizes (which rows, is random)."""
+    s = R.stratified_split(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "label", 0.8)
+    return s.groupBy("label").agg(F.count(F.lit(1)).alias("total"), F.sum(F.col("is_train").cast("bigint")).alias("train"))
+
+
 @query("top_n", """
 SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 15""")
 def q_top_n(spark, sf_dir):
@@ -465,12 +585,10 @@ def q_union_bind(spark, sf_dir):
 
 
 @query("unordered_pairs", """
-SELECT DISTINCT LEAST(o1, o2) AS a, GREATEST(o1, o2) AS b FROM (
-  SELECT l_partkey % 50 AS o1, l_suppkey % 50 AS o2 FROM lineitem) x WHERE o1 <> o2""")
+SELECT DISTINCT LEAST(l_partkey, l_suppkey) AS a, GREATEST(l_partkey, l_suppkey) AS b FROM lineitem WHERE l_partkey <> l_suppkey""")
 def q_unordered_pairs(spark, sf_dir):
     """Distinct unordered pairs."""
-    li = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 50).alias("a"),
-                                                 (F.col("l_suppkey") % 50).alias("b"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
     return basic.unordered_pairs(li, "a", "b")
 
 
@@ -490,7 +608,6 @@ SELECT l_returnflag, l_linestatus, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS s
 FROM lineitem GROUP BY 1, 2""")
 def q_csv_roundtrip(spark, sf_dir):
     """A7 then A6: an aggregate written as CSV with a header, read back with a schema."""
-    from fieldstat.session import shared_dir
     from fieldstat.sources.io import read_csv, write_csv
     li = table(spark, sf_dir, "lineitem")
     agg = li.groupBy("l_returnflag", "l_linestatus").agg(
@@ -502,11 +619,10 @@ def q_csv_roundtrip(spark, sf_dir):
 @query("parquet_roundtrip", """
 SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1""")
 def q_parquet_roundtrip(spark, sf_dir):
-    """Orders written as Parquet partitioned by priority (one file per
-    partition), the feature list saved and reloaded, NULL check, then re-read (A3)."""
+    """Orders written as Parquet partitioned by priority, the feature list
+    saved and reloaded, NULL check, then re-read (A3)."""
     from fieldstat.operators.profile import expect_no_nulls
-    from fieldstat.session import shared_dir
-    from fieldstat.sources.io import load_features, read_parquet, save_features, write_parquet
+    from fieldstat.sources.io import load_features, read_parquet, save_features
     o = table(spark, sf_dir, "orders")
     feat_path = shared_dir(spark, "features")
     save_features(spark, ["o_orderkey", "o_totalprice"], feat_path)

@@ -9,15 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fieldstat.functions.columns import cluster_name, normal_quantile_sql
 from fieldstat.operators import clusters as C, knn as K, metrics as M, models as ML, stats as S
 from fieldstat.operators.basic import merge_rankings, param_grid
 from fieldstat.operators.ranking import stratified_folds, stratified_split
 from fieldstat.plans.adapters import table
 from fieldstat.plans.registry import query
+from fieldstat.session import materialise, shared_dir
 
 LEVELS = [f"L{i}" for i in range(10)]
 DIMS = 64
 K_BEST, P_BEST = 21, 1
+FEATS = [f"f{i}" for i in range(DIMS)]
 
 SPLIT_CTE = """
 base AS (SELECT vec_id, 'L' || CAST(label AS VARCHAR) AS label, embedding,
@@ -51,12 +54,19 @@ def split(spark, sf_dir):
     return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
 
 
+_RESULTS: dict[tuple[str, str], str] = {}
+
+
 def knn_result(spark, sf_dir):
-    """k-NN predictions of the test rows, materialised once (reliable checkpoint in the
-    shared checkpoint folder) because every metric query reads them several times."""
-    from fieldstat.session import materialise
-    tr, te = split(spark, sf_dir)
-    return materialise(K.knn_predict(tr, te, K_BEST, P_BEST, "rectangular", levels=LEVELS))
+    """k-NN predictions of the test rows. The metric queries of a session share one written
+    result per input folder (a reader of other input starts another session)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RESULTS:
+        tr, te = split(spark, sf_dir)
+        path = shared_dir(spark, "knn-result")
+        K.knn_predict(tr, te, K_BEST, P_BEST, "rectangular", levels=LEVELS).write.parquet(path)
+        _RESULTS[key] = path
+    return spark.read.parquet(_RESULTS[key])
 
 
 @query("standardise", "WITH " + SPLIT_CTE.strip() + "\nSELECT vec_id, dim, ROUND(z, 6) AS z FROM z WHERE NOT is_train")
@@ -192,7 +202,7 @@ def q_knn_grid(spark, sf_dir):
 def q_permutation_importance(spark, sf_dir):
     """Permutation importance of every feature (5 shuffles each) for the chosen k-NN."""
     tr, te = split(spark, sf_dir)
-    return K.permutation_importance(tr, te, [f"f{i}" for i in range(DIMS)], K_BEST, P_BEST, reps=5,
+    return K.permutation_importance(tr, te, FEATS, K_BEST, P_BEST, reps=5,
                                     levels=LEVELS)
 
 
@@ -321,21 +331,95 @@ def q_supergroup_agreement(spark, sf_dir):
 
 
 @query("cluster_anova", "WITH " + CL_CTE.strip() + """,
-g AS (SELECT dim, cluster, COUNT(x) AS n, AVG(x) AS m, VAR_SAMP(x) AS v FROM cx WHERE dim <= 8 GROUP BY 1, 2),
-f AS (SELECT dim, SUM(n) AS nn, COUNT(*) AS k, SUM(n * m) AS s, SUM(n * m * m) AS q, SUM((n - 1) * COALESCE(v, 0)) AS ssw FROM g GROUP BY 1)
-SELECT 'f' || CAST(dim - 1 AS VARCHAR) AS feature, ROUND(((q - s * s / nn) / (k - 1)) / (ssw / (nn - k)), 1) AS f_value FROM f""")
+o AS (SELECT dim, AVG(x) AS mu, COUNT(x) AS nn, COUNT(DISTINCT cluster) AS k FROM cx GROUP BY 1),
+g AS (SELECT dim, cluster, AVG(x) AS m FROM cx GROUP BY 1, 2),
+f AS (SELECT cx.dim, SUM((m - mu) * (m - mu)) AS between_, SUM((x - m) * (x - m)) AS within_, MAX(nn) AS nn, MAX(k) AS k
+      FROM cx JOIN g ON g.dim = cx.dim AND g.cluster = cx.cluster JOIN o ON o.dim = cx.dim GROUP BY cx.dim)
+SELECT 'f' || CAST(dim - 1 AS VARCHAR) AS feature, ROUND((between_ / (k - 1)) / (within_ / (nn - k)), 1) AS f_value FROM f""")
 def q_cluster_anova(spark, sf_dir):
-    """Features that separate clusters (ANOVA F of the first 8 dimensions)."""
+    """Features that separate clusters (ANOVA F of all dimensions)."""
     c = clustered(spark, sf_dir)
-    wide = c.select("cluster", *[F.get("vec", i).alias(f"f{i}") for i in range(8)])
-    return S.anova_f(wide, [f"f{i}" for i in range(8)], "cluster")
+    wide = c.select("cluster", *[F.get("vec", i).alias(f"f{i}") for i in range(DIMS)])
+    return S.anova_f(wide, FEATS, "cluster")
 
 
-# ---------------------------------------------------------------- Spark ML (rows only)
+@query("cluster_class", "WITH " + CL_CTE.strip() + """,
+c AS (SELECT cluster, label, COUNT(*) AS n FROM cl GROUP BY 1, 2)
+SELECT cluster, label, n, ROUND(n / SUM(n) OVER (PARTITION BY cluster), 4) AS cluster_share,
+       ROUND(n / SUM(n) OVER (PARTITION BY label), 4) AS class_coverage FROM c""")
+def q_cluster_class(spark, sf_dir):
+    """Cluster x class counts with each cell's share of its cluster and of its class."""
+    return C.class_table(clustered(spark, sf_dir), "cluster", "label")
+
+
+@query("centroids_standardised", "WITH " + CL_CTE.strip() + """,
+st AS (SELECT dim, AVG(x) AS m, STDDEV_SAMP(x) AS s FROM cx GROUP BY dim)
+SELECT cluster, cx.dim - 1 AS dim, ROUND(AVG((x - m) / s), 6) AS centroid, COUNT(*) AS n FROM cx JOIN st ON st.dim = cx.dim
+GROUP BY cluster, cx.dim""")
+def q_centroids_standardised(spark, sf_dir):
+    """Centroids in standardised units."""
+    c = clustered(spark, sf_dir)
+    z = C.centroid_arrays(K.scale_with(c, c))
+    return z.select("cluster", F.posexplode("centroid").alias("dim", "centroid"), "n") \
+            .select("cluster", F.col("dim").cast("bigint").alias("dim"), F.round("centroid", 6).alias("centroid"), "n")
 
-FEATS = [f"f{i}" for i in range(DIMS)]
+
+@query("silhouette_summary", "WITH " + CL_CTE.strip() + _PAIR_D.format(d="sqrt(d2)") + """
+SELECT cluster, COUNT(*) AS n, ROUND(AVG(s), 4) AS mean_silhouette, ROUND(AVG(CASE WHEN s < 0 THEN 1.0 ELSE 0 END), 4) AS negative_share
+FROM sil GROUP BY GROUPING SETS ((cluster), ())""")
+def q_silhouette_summary(spark, sf_dir):
+    """Mean silhouette and negative share per cluster and overall (NULL cluster)."""
+    return C.silhouette_summary(C.silhouette_rows(clustered(spark, sf_dir)))
+
+
+@query("assignments", "WITH " + CL_CTE.strip() + _PAIR_D.format(d="sqrt(d2)") + """
+SELECT sil.id, sil.cluster, cl.label, ROUND(s, 6) AS silhouette FROM sil JOIN cl ON cl.vec_id = sil.id""")
+def q_assignments(spark, sf_dir):
+    """Assignment export (id, cluster, class, silhouette), written and read back."""
+    c = clustered(spark, sf_dir)
+    s = C.silhouette_rows(c).select("id", "cluster", F.round("silhouette", 6).alias("silhouette"))
+    path = shared_dir(spark, "assignments")
+    s.join(c.select("id", "label"), "id").select("id", "cluster", "label", "silhouette").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("adjacent_error_share", "WITH " + KNN_CTE.strip() + """,
+o AS (SELECT list_position(""" + str(LEVELS) + """, label) AS a, list_position(""" + str(LEVELS) + """, prediction) AS b
+      FROM res WHERE label <> prediction)
+SELECT COUNT(*) AS errors, ROUND(AVG(CASE WHEN abs(a - b) = 1 THEN 1.0 ELSE 0 END), 4) AS adjacent_share FROM o""")
+def q_adjacent_error_share(spark, sf_dir):
+    """Share of all errors that fall between adjacent classes."""
+    return S.adjacent_error_share(S.error_pairs(knn_result(spark, sf_dir), "label", "prediction", LEVELS))
 
 
+_KERNEL_U = "LEAST(GREATEST(COALESCE(dist / NULLIF(nxt, 0), 0), 1e-6), 1 - 1e-6)"
+
+
+@query("knn_kernels", "WITH " + SPLIT_CTE.strip() + f""",
+d AS (SELECT q.vec_id AS qid, r.vec_id AS rid, r.label AS rlabel, sqrt(SUM((q.z - r.z) * (q.z - r.z))) AS dist
+      FROM z q JOIN z r ON q.dim = r.dim AND NOT q.is_train AND r.is_train GROUP BY q.vec_id, r.vec_id, r.label),
+nb AS (SELECT *, MAX(dist) FILTER (WHERE rn = 10) OVER (PARTITION BY qid) AS nxt FROM (
+         SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY dist, rid) AS rn FROM d) x WHERE rn <= 10),
+w AS (SELECT qid, rlabel, UNNEST([{{'kernel': 'triangular', 'w': 1 - {_KERNEL_U}}}, {{'kernel': 'inv', 'w': 1 / {_KERNEL_U}}},
+             {{'kernel': 'gaussian', 'w': exp(-pow({_KERNEL_U} * abs({normal_quantile_sql('CAST(0.05 AS DOUBLE)')}), 2) / 2)}}], recursive := true)
+      FROM nb WHERE rn <= 9),
+v AS (SELECT qid, kernel, rlabel, SUM(w) AS score FROM w GROUP BY 1, 2, 3)
+SELECT qid, kernel, MIN({{'neg': -score, 'c': rlabel}})['c'] AS prediction, ROUND(MAX(score) / SUM(score), 6) AS share
+FROM v GROUP BY 1, 2""")
+def q_knn_kernels(spark, sf_dir):
+    """Weighted votes of the 9 nearest (Euclidean) under the other three kernels."""
+    tr, te = split(spark, sf_dir)
+    nb = K.neighbours(K.scale_with(tr, te), K.scale_with(tr, tr), 10, 2)
+    out = None
+    for kernel in ("triangular", "inv", "gaussian"):
+        v = K.vote(nb, 9, kernel, LEVELS).select("qid", F.lit(kernel).alias("kernel"), "prediction",
+                                                 F.round(F.array_max(F.map_values("proba")), 6).alias("share"))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+# ---------------------------------------------------------------- Spark ML (rows only)
+
 def wide(spark, sf_dir):
     tr, te = split(spark, sf_dir)
     w = lambda d: d.select("id", "label", *[F.get("vec", i).alias(f"f{i}") for i in range(DIMS)])
@@ -358,114 +442,212 @@ def q_tree_importance(spark, sf_dir):
     return ML.importance(spark, m, FEATS)
 
 
+CHOSEN_TREE = {"impurity": "entropy", "maxDepth": 5}
+CHOSEN_FOREST = {"numTrees": 500, "maxDepth": 5}
+
+
+def folded(spark, sf_dir):
+    """Training rows, wide, with the ten stratified folds that all methods share."""
+    tr, _ = wide(spark, sf_dir)
+    return stratified_folds(tr, "label", 10, key=F.md5(F.col("id").cast("string")))
+
+
 @query("forest")
 def q_forest(spark, sf_dir):
-    """L2: random forest (100 trees, depth 5) predictions."""
+    """Random forest (500 trees, depth 5) predictions with class probabilities."""
     tr, te = wide(spark, sf_dir)
-    m = ML.fit(tr, FEATS, ML.forest(numTrees=100, maxDepth=5))
-    return ML.predict(m, te)
+    return ML.predict(ML.fit(tr, FEATS, ML.forest(**CHOSEN_FOREST)), te)
 
 
 @query("forest_summary")
 def q_forest_summary(spark, sf_dir):
     """Model size of the forest (depth, node counts, rules)."""
     tr, _ = wide(spark, sf_dir)
-    m = ML.fit(tr, FEATS, ML.forest(numTrees=100, maxDepth=5))
-    return ML.model_summary(spark, m)
+    return ML.model_summary(spark, ML.fit(tr, FEATS, ML.forest(**CHOSEN_FOREST)))
 
 
 @query("tree_cv")
 def q_tree_cv(spark, sf_dir):
-    """10-fold CV of the depth scenario on shared stratified folds, ranked."""
-    tr, _ = wide(spark, sf_dir)
-    tr = stratified_folds(tr, "label", 10, key=F.md5(F.col("id").cast("string")))
-    est = ML.tree()
-    cv, maps = ML.cross_validate(tr, FEATS, est, {"maxDepth": [2, 3, 5, 8, 12, 20]}, fold_col="fold")
-    return ML.validation_table(spark, cv, maps)
+    """10-fold CV of all tree scenarios on shared stratified folds, ranked."""
+    return ML.search(folded(spark, sf_dir), FEATS, ML.tree, ML.TREE_SCENARIOS)[0]
+
+
+@query("tree_refit")
+def q_tree_refit(spark, sf_dir):
+    """The best tree of the depth scenario, refitted on the whole training set; test predictions."""
+    tr, te = wide(spark, sf_dir)
+    _, best = ML.search(folded(spark, sf_dir), FEATS, ML.tree, {"S1": ML.TREE_SCENARIOS["S1"]})
+    return ML.predict(ML.fit(tr, FEATS, ML.tree(**best)), te)
+
+
+@query("forest_cv")
+def q_forest_cv(spark, sf_dir):
+    """10-fold CV of all forest scenarios on the same folds, ranked."""
+    return ML.search(folded(spark, sf_dir), FEATS, ML.forest, ML.FOREST_SCENARIOS)[0]
 
 
 @query("pca")
 def q_pca(spark, sf_dir):
-    """Explained variance of 11 components and the count reaching 90 %."""
+    """K4: explained variance of every component."""
+    tr, te = wide(spark, sf_dir)
+    return ML.pca(tr.unionByName(te), FEATS, DIMS)[1]
+
+
+@query("pca_count")
+def q_pca_count(spark, sf_dir):
+    """The number of components that explain 90 %."""
+    tr, te = wide(spark, sf_dir)
+    return ML.n_components(ML.pca(tr.unionByName(te), FEATS, DIMS)[1], 0.9)
+
+
+@query("pca_scores")
+def q_pca_scores(spark, sf_dir):
+    """K5, H4: the first two component scores of every row with class and cluster (k = 3)."""
+    tr, te = wide(spark, sf_dir)
+    scores, _ = ML.pca(tr.unionByName(te), FEATS, 2)
+    _, assigned = ML.kmeans(ML.sized(scores), 3)
+    pcs = ML.vector_to_array("pcs")
+    return assigned.select("id", "label", cluster_name("prediction").alias("cluster"), F.get(pcs, 0).alias("pc1"), F.get(pcs, 1).alias("pc2"))
+
+
+KS = range(2, 11)
+_SWEEP = ("space string, k int, W double, SSE double, silhouette double, smallest long, largest long, purity double, ari double")
+
+
+def prepared(spark, sf_dir):
+    """All rows with standardised features and with their components up to 90 % (N3's two spaces)."""
     tr, te = wide(spark, sf_dir)
-    _, explained = ML.pca(tr.unionByName(te), FEATS, 11)
-    return explained
+    df = tr.unionByName(te)
+    scores, explained = ML.pca(df, FEATS, DIMS)
+    n = ML.n_components(explained, 0.9).head()[0] or DIMS
+    some = F.slice(ML.vector_to_array("pcs"), 1, n)
+    return ML.sized(scores.select("id", "label", "features", ML.array_to_vector(some).alias("components")))
+
+
+def sweeps(spark, prep):
+    rows = [(space, *[r[c] for c in ("k", "W", "SSE", "silhouette", "smallest", "largest", "purity", "ari")])
+            for space, col in (("features", "features"), ("components", "components"))
+            for r in ML.sweep(prep, KS, features=col)]
+    return spark.createDataFrame(rows, _SWEEP)
 
 
 @query("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
-    """K sweep 2..10 with W, silhouette, purity, ARI, elbow drop."""
+    """k = 2..10 over the features with W, silhouette, purity, ARI, elbow drop."""
     tr, te = wide(spark, sf_dir)
     df = tr.unionByName(te)
-    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).cache()
-    rows = []
-    for k in range(2, 11):
-        _, a = ML.kmeans(prep, k)
-        sil = ML.silhouette_sq(a)
-        a2 = (a.withColumn("vec", ML.vector_to_array("features"))
-               .withColumn("cluster", F.col("prediction").cast("string")).cache())
-        s = C.sse(a2, "cluster", "vec", 1).first()
-        pu = C.purity(a2, "cluster", "label").first()[0]
-        ar = C.ari(a2, "cluster", "label").first()[0]
-        sz = C.cluster_sizes(a2, "cluster").first()
-        rows.append((k, float(s.W), float(s.SSE), round(sil, 4), sz.smallest, sz.largest, pu, ar))
-        a2.unpersist()
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).persist()
+    rows = [("features", *[r[c] for c in ("k", "W", "SSE", "silhouette", "smallest", "largest", "purity", "ari")])
+            for r in ML.sweep(prep, KS)]
+    prep.unpersist()
+    return S.relative_drop(spark.createDataFrame(rows, _SWEEP), "k", "W", "drop_W")
+
+
+@query("kmeans_spaces")
+def q_kmeans_spaces(spark, sf_dir):
+    """The sweep in both spaces; the best row (largest silhouette) flagged."""
+    prep = prepared(spark, sf_dir).persist()
+    res = sweeps(spark, prep)
+    prep.unpersist()
+    top = S.argmax(res, "silhouette", ["space", "k"]).head()
+    return res.withColumn("best", (F.col("space") == top["space"]) & (F.col("k") == top["k"]))
+
+
+@query("cluster_report")
+def q_cluster_report(spark, sf_dir):
+    """One row of the chosen solution (best k over the features): all facts, explained share,
+    plain silhouette and negative share."""
+    tr, te = wide(spark, sf_dir)
+    df = tr.unionByName(te)
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).persist()
+    best = max(ML.sweep(prep, KS), key=lambda r: (r["silhouette"], -r["k"]))
+    _, a, facts = ML.clustered(prep, best["k"])
+    rows = a.select("id", cluster_name("prediction").alias("cluster"), ML.vector_to_array("features").alias("vec"))
+    total = C.silhouette_summary(C.silhouette_rows(rows)).where("cluster IS NULL").head()
+    one = C.sse(rows.withColumn("cluster", F.lit("all")), digits=None).head()["SSE"]
     prep.unpersist()
-    res = spark.createDataFrame(rows, "k int, W double, SSE double, silhouette double, smallest long, largest long, purity double, ari double")
-    return S.relative_drop(res, "k", "W", "drop_W")
+    row = (facts["k"], facts["W"], facts["SSE"], round(1 - facts["SSE"] / one, 4), facts["silhouette"], total["mean_silhouette"],
+           total["negative_share"], facts["smallest"], facts["largest"], facts["purity"], facts["ari"])
+    return spark.createDataFrame([row], "k int, W double, SSE double, explained_share double, silhouette_sq double, silhouette double, "
+                                        "negative_share double, smallest long, largest long, purity double, ari double")
 
 
 @query("kmeans_stability")
 def q_kmeans_stability(spark, sf_dir):
-    """2 init modes x 5 seeds at k = 3, with W and silhouette."""
+    """2 init modes x 5 seeds at k = 3 with W, silhouette and ARI, each next to its range over all runs."""
     tr, te = wide(spark, sf_dir)
     df = tr.unionByName(te)
-    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).cache()
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None)).fit(df).transform(df)).persist()
+    runs = [(init, seed) for init in ("k-means||", "random") for seed in (1, 7, 42, 2024, 31337)]
     rows = []
-    for init in ("k-means||", "random"):
-        for seed in (1, 7, 42, 2024, 31337):
-            _, a = ML.kmeans(prep, 3, init=init, seed=seed)
-            a2 = a.withColumn("vec", ML.vector_to_array("features")).withColumn("cluster", F.col("prediction").cast("string"))
-            rows.append((init, seed, float(C.sse(a2, "cluster", "vec", 1).first().W), round(ML.silhouette_sq(a), 4)))
+    for init, seed in runs:
+        r = ML.clustered(prep, 3, init=init, seed=seed)[2]
+        rows.append((init, seed, r["W"], r["silhouette"], r["ari"]))
     prep.unpersist()
-    return spark.createDataFrame(rows, "init string, seed int, W double, silhouette double")
+    out = spark.createDataFrame(rows, "init string, seed int, W double, silhouette double, ari double")
+    for c in ("W", "silhouette", "ari"):
+        out = out.withColumn(f"range_{c}", S.spread(out, c).select("range").scalar())
+    return out
 
 
 @query("bisecting")
 def q_bisecting(spark, sf_dir):
-    """Bisecting k-means at k = 3 on scaled, uncentred features vs k-means (ARI)."""
+    """Bisecting k-means at k = 3 on scaled, uncentred features next to k-means: W, silhouette,
+    purity, ARI with the class, sizes, and the agreement of both."""
     tr, te = wide(spark, sf_dir)
     df = tr.unionByName(te)
-    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None, with_mean=False)).fit(df).transform(df)).cache()
-    _, b = ML.bisecting(prep, 3)
-    _, k = ML.kmeans(prep, 3)
-    j = b.select("id", F.col("prediction").cast("string").alias("bis")).join(
-        k.select("id", F.col("prediction").cast("string").alias("km")), "id")
-    sizes = b.groupBy("prediction").count()
-    return sizes.withColumn("ari_vs_kmeans", C.ari(j, "bis", "km").select("ari").scalar())
+    prep = ML.sized(ML.Pipeline(stages=ML.prepare_stages(FEATS, None, with_mean=False)).fit(df).transform(df)).persist()
+    bm, b = ML.bisecting(prep, 3)
+    _, k, facts = ML.clustered(prep, 3)
+    cells = [(r[0], r[1], r[2]) for r in b.groupBy("prediction", "label").count().collect()]
+    sse = float(bm.summary.trainingCost)
+    mine = {"W": round(2 * sse, 1), "silhouette": round(ML.silhouette_sq(b), 4), **ML.table_scores(cells)}
+    j = b.select("id", F.col("prediction").alias("bis")).join(k.select("id", F.col("prediction").alias("km")), "id")
+    both = ML.table_scores([(r[0], r[1], r[2]) for r in j.groupBy("bis", "km").count().collect()])["ari"]
+    prep.unpersist()
+    rows = [(name, r["W"], r["silhouette"], r["purity"], r["ari"], r["smallest"], r["largest"], both)
+            for name, r in (("bisecting", mine), ("k-means", facts))]
+    return spark.createDataFrame(rows, "method string, W double, silhouette double, purity double, ari double, smallest long, "
+                                       "largest long, agreement double")
 
 
 @query("compare_methods")
 def q_compare_methods(spark, sf_dir):
-    """Methods side by side (test weighted F1) and merged importance ranks."""
+    """Tree, forest and k-NN by their CV F1 on the same folds, with the test metrics beside it."""
     tr, te = wide(spark, sf_dir)
-    t = ML.predict(ML.fit(tr, FEATS, ML.tree(impurity="entropy", maxDepth=5)), te)
-    f = ML.predict(ML.fit(tr, FEATS, ML.forest(numTrees=50, maxDepth=5)), te)
-    kn = knn_result(spark, sf_dir).select(F.col("qid").alias("id"), "label", "prediction")
-    rows = None
-    for name, p in (("tree", t), ("forest", f), ("knn", kn)):
-        r = M.weighted_f1(p, LEVELS).select(F.lit(name).alias("method"), F.col("weighted_f1").alias("cv_f1"))
-        rows = r if rows is None else rows.unionByName(r)
-    return ML.compare_methods(rows)
+    folds = folded(spark, sf_dir).persist()
+    cv = {name: round(sum(f) / len(f), 4) for name, make, chosen in
+          (("tree", ML.tree, CHOSEN_TREE), ("forest", ML.forest, CHOSEN_FOREST))
+          for f in ML.cross_validate(folds, FEATS, make, [chosen])}
+    vecs = folds.select("id", "label", "fold", K.to_vector(FEATS).alias("vec"))
+    cv["knn"] = K.knn_grid(vecs, param_grid(spark, k=[K_BEST], distance=[P_BEST], kernel=["rectangular"]), 10, levels=LEVELS).head()["f1"]
+    folds.unpersist()
+    preds = {"tree": ML.predict(ML.fit(tr, FEATS, ML.tree(**CHOSEN_TREE)), te),
+             "forest": ML.predict(ML.fit(tr, FEATS, ML.forest(**CHOSEN_FOREST)), te),
+             "knn": knn_result(spark, sf_dir).select(F.col("qid").alias("id"), "label", "prediction", *[
+                 F.coalesce(F.col("proba")[c], F.lit(0.0)).alias(f"p_{c}") for c in LEVELS])}
+    rows = []
+    for name, p in preds.items():
+        present = [c for c in LEVELS if f"p_{c}" in p.columns]
+        p = materialise(p)
+        o, m = M.overall(p, LEVELS).head(), M.macro(M.by_class(p, LEVELS, digits=None)).head()
+        auc = M.multiclass_auc(p, "label", {c: f"p_{c}" for c in present}).head()["auc"]
+        rows.append((name, float(cv[name]), o["accuracy"], o["kappa"], m["macro_f1"], m["macro_balanced_accuracy"],
+                     M.weighted_f1(p, LEVELS).head()[0], auc))
+    table = spark.createDataFrame(rows, "method string, cv_f1 double, accuracy double, kappa double, macro_f1 double, "
+                                        "balanced_accuracy double, weighted_f1 double, auc double")
+    return ML.compare_methods(table)
 
 
 @query("merge_rankings")
 def q_merge_rankings(spark, sf_dir):
-    """Impurity importances of tree and forest merged by feature."""
-    tr, _ = wide(spark, sf_dir)
-    ti = ML.importance(spark, ML.fit(tr, FEATS, ML.tree(impurity="entropy", maxDepth=5)), FEATS).select("feature", "importance")
-    fi = ML.importance(spark, ML.fit(tr, FEATS, ML.forest(numTrees=50, maxDepth=5)), FEATS).select("feature", "importance")
-    return merge_rankings([(ti, "importance_tree"), (fi, "importance_forest")], "feature") \
+    """Importances of tree, forest and k-NN (permutation) merged by feature."""
+    tr, te = split(spark, sf_dir)
+    w, _ = wide(spark, sf_dir)
+    ti = ML.importance(spark, ML.fit(w, FEATS, ML.tree(**CHOSEN_TREE)), FEATS).select("feature", "importance")
+    fi = ML.importance(spark, ML.fit(w, FEATS, ML.forest(**CHOSEN_FOREST)), FEATS).select("feature", "importance")
+    ki = K.permutation_importance(tr, te, FEATS, K_BEST, P_BEST, reps=5, levels=LEVELS).select("feature", "importance_norm")
+    return merge_rankings([(ti, "importance_tree"), (fi, "importance_forest"), (ki, "importance_knn")], "feature") \
         .orderBy(F.desc("importance_forest"), "feature")
 
 

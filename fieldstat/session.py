@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,14 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set one only when none is named.
 
     The folder comes from ``spark.checkpoint.dir`` (a shared file system on a
-    cluster). Only a bare local test session falls back to a /tmp folder.
+    cluster). Only a local session, whose driver is its one executor, falls
+    back to a /tmp folder; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf_dir or _TEST_CHECKPOINT_ROOT
+    target = spark.conf.get("spark.checkpoint.dir", None)
+    if not target:
+        if not re.fullmatch(r"local(\[[^,\]]*(,\d+)?\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        target = _TEST_CHECKPOINT_ROOT
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 

@@ -13,9 +13,12 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.ansi.enabled", "true")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from fieldstat.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
+    s.stop()
