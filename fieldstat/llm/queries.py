@@ -107,6 +107,48 @@ FROM marked GROUP BY doc_id
 """
 
 
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+
+def _windows_sql(id_col: str, table: str) -> str:
+    """Every window of SPAN words of a table, once per mask, with the words the mask looks at."""
+    keys = " UNION ALL ".join(
+        f"SELECT *, {i} AS mask, concat_ws(' ', {', '.join(f'x[{j + 1}]' for j, m in enumerate(mask) if m == '1')}) AS key FROM {table}_w"
+        for i, mask in enumerate(decontam.MASKS))
+    return f"""
+{table}_t AS (SELECT {id_col}, {_WORDS} AS w FROM {table} WHERE {id_col} IS NOT NULL),
+{table}_w AS (SELECT {id_col}, pos, w[pos + 1:pos + {decontam.SPAN}] AS x
+              FROM (SELECT {id_col}, w, unnest(range(0, len(w) - {decontam.SPAN - 1})) AS pos FROM {table}_t)),
+{table}_k AS ({keys})"""
+
+
+# Items of SPAN words and more; the driver's tables have no shorter ones.
+OP8_SQL = f"""
+WITH {_windows_sql('doc_id', 'documents')}, {_windows_sql('item_id', 'benchmark')},
+hits AS (
+  SELECT d.doc_id, b.item_id, d.pos,
+         list_sum(list_transform(range(1, {decontam.SPAN + 1}), lambda j: CAST(d.x[j] = b.x[j] AS INTEGER))) / {decontam.SPAN}.0 AS identity
+  FROM documents_k d JOIN benchmark_k b ON d.mask = b.mask AND d.key = b.key
+)
+SELECT doc_id, item_id, min(pos) AS first_word, max(pos) + {decontam.SPAN - 1} AS last_word, count(*) AS n_hits, max(identity) AS identity
+FROM hits WHERE identity >= {decontam.IDENTITY} GROUP BY doc_id, item_id
+"""
+
+OP2_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {topk.K}
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     """Name to DuckDB SQL."""
-    return {"op10_line_dedup": OP10_SQL}
+    return {"op2_top_k": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_line_dedup": OP10_SQL}
