@@ -215,7 +215,7 @@ def kernel_weight(kernel: str, dist: Column, d_next: Column, k: Column) -> Colum
     if kernel == "gaussian":
         # Normal density of u * |q(1 / (2 (k + 1)))|.
         from fieldstat.functions.columns import normal_quantile_sql
-        z = F.abs(F.expr(normal_quantile_sql("(1.0 / (2 * (_k + 1)))")))
+        z = F.abs(F.expr(normal_quantile_sql("(CAST(1 AS DOUBLE) / (2 * (_k + 1)))")))
         x = u * z
         return F.exp(-x * x / 2) / math.sqrt(2 * math.pi)
     raise ValueError(f"unknown kernel {kernel}")
