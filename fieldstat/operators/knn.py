@@ -329,8 +329,11 @@ def permuted_values(test: DataFrame, features: int, reps: int, seed: int = 42, *
     from fieldstat.operators.ranking import running_total
     values = F.flatten(F.transform(F.slice(F.col(vec), 1, features), lambda x: F.array_repeat(x, reps)))
     x = test.select(F.col(id_col).alias("_row"), F.posexplode(values).alias("variant", "_x"))
-    a = running_total(x.withColumn("_k", F.xxhash64(F.lit(seed), "variant", "_row")), ["_k", "_row"], ["variant"], out="_pos")
-    b = running_total(x.withColumn("_k", F.xxhash64(F.lit(seed + 1), "variant", "_row")), ["_k", "_row"], ["variant"], out="_pos")
+    def order(s: int) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(s)), F.col("variant").cast("string"), F.col("_row").cast("string")))
+
+    a = running_total(x.withColumn("_k", order(seed)), ["_k", "_row"], ["variant"], out="_pos")
+    b = running_total(x.withColumn("_k", order(seed + 1)), ["_k", "_row"], ["variant"], out="_pos")
     j = a.select("variant", "_pos", "_row").join(b.select("variant", "_pos", "_x"), ["variant", "_pos"])
     # features x reps values of a row: bounded by parameters.
     g = j.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("variant", "_x"))).alias("_c"))

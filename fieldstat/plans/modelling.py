@@ -184,21 +184,77 @@ def q_error_pairs(spark, sf_dir):
     return S.error_pairs(knn_result(spark, sf_dir), "label", "prediction", LEVELS)
 
 
-@query("knn_grid")
+GRID = sorted({(k, 2, "rectangular") for k in (1, 3, 5, 7, 9, 11, 15, 21, 31, 51)}
+              | {(k, 2, kernel) for k in (5, 9, 15, 21, 31) for kernel in K.KERNELS}
+              | {(k, p, "rectangular") for k in (5, 9, 15, 21, 31) for p in (1, 2, 3)})
+_U = "LEAST(GREATEST(COALESCE(dist / NULLIF(nxt, 0), 0), 1e-6), 1 - 1e-6)"
+
+
+def _f1_sql(keys: str, pred: str) -> str:
+    """Weighted F1 of the predictions ``pred`` (keys, label, prediction) per keys; undefined F1 counts 0."""
+    return f"""
+SELECT {keys}, SUM(n_true * COALESCE(2.0 * n_hit / NULLIF(n_true + n_pred, 0), 0)) / SUM(n_true) AS f1 FROM (
+  SELECT {keys}, c, SUM(is_true) AS n_true, SUM(is_pred) AS n_pred, SUM(is_hit) AS n_hit FROM (
+    SELECT {keys}, label AS c, 1 AS is_true, 0 AS is_pred, CAST(label = prediction AS INTEGER) AS is_hit FROM {pred}
+    UNION ALL SELECT {keys}, prediction, 0, 1, 0 FROM {pred}) GROUP BY {keys}, c) GROUP BY {keys}"""
+
+
+@query("knn_grid", "WITH " + SPLIT_CTE.strip() + f""",
+t AS (SELECT vec_id, label, (ROW_NUMBER() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR))) - 1) % 10 AS fold
+      FROM base WHERE is_train),
+lf AS (SELECT l.vec_id, t.label, t.fold, l.dim, l.x FROM long l JOIN t ON t.vec_id = l.vec_id),
+fs AS (SELECT g, dim, AVG(x) AS m, COALESCE(NULLIF(STDDEV_SAMP(x), 0), 1) AS s FROM lf, range(10) f(g) WHERE fold <> g GROUP BY g, dim),
+zq AS (SELECT fs.g, vec_id, lf.dim, (x - m) / s AS z FROM lf JOIN fs ON fs.g = lf.fold AND fs.dim = lf.dim),
+zr AS (SELECT fs.g, vec_id, label, lf.dim, (x - m) / s AS z FROM lf JOIN fs ON fs.g <> lf.fold AND fs.dim = lf.dim),
+pr AS (SELECT q.g, q.vec_id AS qid, r.vec_id AS rid, r.label, SUM(ABS(q.z - r.z)) AS d1, SQRT(SUM((q.z - r.z) * (q.z - r.z))) AS d2,
+              POW(SUM(POW(ABS(q.z - r.z), 3)), 1.0 / 3) AS d3
+       FROM zq q JOIN zr r ON q.g = r.g AND q.dim = r.dim GROUP BY q.g, q.vec_id, r.vec_id, r.label),
+ds AS (SELECT g, qid, rid, label, UNNEST([1, 2, 3]) AS p, UNNEST([d1, d2, d3]) AS dist FROM pr),
+nb AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY p, g, qid ORDER BY dist, rid) AS rn FROM ds QUALIFY rn <= 52),
+gr AS (SELECT * FROM (VALUES {', '.join(f"({k}, {p}, '{kernel}')" for k, p, kernel in GRID)}) v(k, p, kernel)),
+x AS (SELECT gr.k, gr.p, gr.kernel, nb.g, qid, label, dist, rn,
+             COALESCE(MAX(CASE WHEN rn = gr.k + 1 THEN dist END) OVER o, MAX(dist) OVER o) AS nxt
+      FROM nb JOIN gr ON gr.p = nb.p AND rn <= gr.k + 1 WINDOW o AS (PARTITION BY gr.k, gr.p, gr.kernel, nb.g, qid)),
+w AS (SELECT k, p, kernel, g, qid, label,
+             CASE kernel WHEN 'rectangular' THEN 1.0 WHEN 'triangular' THEN 1 - {_U} WHEN 'inv' THEN 1 / {_U}
+                         ELSE exp(-pow({_U} * abs({normal_quantile_sql('(CAST(1 AS DOUBLE) / (2 * (k + 1)))')}), 2) / 2) END AS wt
+      FROM x WHERE rn <= k),
+v AS (SELECT k, p, kernel, g, qid, label, SUM(wt) AS score FROM w GROUP BY ALL),
+pd AS (SELECT k, p, kernel, g, qid, MIN({{'a': -score, 'b': list_position({LEVELS}, label)}})['b'] AS pos FROM v GROUP BY ALL),
+res AS (SELECT k, p, kernel, g, t.label, {LEVELS}[pos] AS prediction FROM pd JOIN t ON t.vec_id = pd.qid),
+f AS ({_f1_sql('k, p, kernel, g', 'res')}),
+o AS (SELECT k, p, kernel, ROUND(AVG(f1), 4) AS f1, ROUND(STDDEV_SAMP(f1), 4) AS f1_sd, ROUND(STDDEV_SAMP(f1) / sqrt(COUNT(f1)), 4) AS f1_se
+      FROM f GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS k, CAST(p AS DOUBLE) AS distance, kernel, f1, f1_sd, f1_se, f1 - f1_se AS lower, f1 + f1_se AS upper FROM o""")
 def q_knn_grid(spark, sf_dir):
     """L14 (+C9, E9, J8): stratified 10-fold CV of a k x distance x kernel grid."""
     tr, _ = split(spark, sf_dir)
     tr = stratified_folds(tr, "label", 10, key=F.md5(F.col("id").cast("string")))
-    g1 = param_grid(spark, k=[1, 3, 5, 7, 9, 11, 15, 21, 31, 51], distance=[2], kernel=["rectangular"])
-    g2 = param_grid(spark, k=[5, 9, 15, 21, 31], distance=[2], kernel=list(K.KERNELS))
-    g3 = param_grid(spark, k=[5, 9, 15, 21, 31], distance=[1, 2, 3], kernel=["rectangular"])
-    grid = g1.unionByName(g2).unionByName(g3).distinct()
+    grid = spark.createDataFrame(GRID, "k int, distance int, kernel string")
     res = K.knn_grid(tr, grid, 10, levels=LEVELS)
     from fieldstat.operators.distribution import error_bars
     return error_bars(res, "f1", "f1_se")
 
 
-@query("permutation_importance")
+@query("permutation_importance", "WITH " + SPLIT_CTE.strip() + f""",
+q AS (SELECT vec_id, label, dim, z FROM z WHERE NOT is_train),
+r AS (SELECT vec_id, label, dim, z FROM z WHERE is_train),
+d0 AS (SELECT q.vec_id AS qid, r.vec_id AS rid, r.label, SUM(ABS(q.z - r.z)) AS d FROM q JOIN r ON q.dim = r.dim GROUP BY 1, 2, 3),
+va AS (SELECT vec_id, label, dim, z, dim * 5 + rep AS variant FROM q, range(5) x(rep)),
+a AS (SELECT vec_id, variant, dim, z, ROW_NUMBER() OVER (PARTITION BY variant ORDER BY md5('42:' || variant || ':' || vec_id), vec_id) AS pos FROM va),
+b AS (SELECT variant, z AS new, ROW_NUMBER() OVER (PARTITION BY variant ORDER BY md5('43:' || variant || ':' || vec_id), vec_id) AS pos FROM va),
+ch AS (SELECT a.vec_id AS qid, a.variant, a.dim, a.z AS old, b.new FROM a JOIN b ON a.variant = b.variant AND a.pos = b.pos),
+dv AS (SELECT ch.variant, ch.qid, d0.rid, d0.label, d0.d - ABS(ch.old - r.z) + ABS(ch.new - r.z) AS dist
+       FROM ch JOIN d0 ON d0.qid = ch.qid JOIN r ON r.vec_id = d0.rid AND r.dim = ch.dim
+       UNION ALL SELECT -1, qid, rid, label, d FROM d0),
+nn AS (SELECT * FROM dv QUALIFY ROW_NUMBER() OVER (PARTITION BY variant, qid ORDER BY dist, rid) <= {K_BEST}),
+vo AS (SELECT variant, qid, label, COUNT(*) AS score FROM nn GROUP BY ALL),
+pd AS (SELECT variant, qid, MIN({{'a': -score, 'b': list_position({LEVELS}, label)}})['b'] AS pos FROM vo GROUP BY ALL),
+res AS (SELECT variant, b.label, {LEVELS}[pos] AS prediction FROM pd JOIN base b ON b.vec_id = pd.qid),
+f AS ({_f1_sql('variant', 'res')}),
+dr AS (SELECT variant // 5 AS dim, AVG((SELECT f1 FROM f WHERE variant = -1) - f1) AS drop_ FROM f WHERE variant >= 0 GROUP BY 1)
+SELECT 'f' || CAST(dim AS VARCHAR) AS feature, ROUND(drop_, 4) AS importance,
+       ROUND(GREATEST(drop_, 0) / NULLIF(SUM(GREATEST(drop_, 0)) OVER (), 0), 4) AS importance_norm FROM dr""")
 def q_permutation_importance(spark, sf_dir):
     """Permutation importance of every feature (5 shuffles each) for the chosen k-NN."""
     tr, te = split(spark, sf_dir)
