@@ -44,3 +44,42 @@ def test_pipeline(spark, tmp_path):
             assert 0 < docs.count() <= before
             before = docs.count()
     assert docs.count() > 0
+
+
+def tables(spark, path, rows):
+    """A corpus folder of awkward documents with labels, benchmark, pages and vectors."""
+    from tests.llm.helpers import docs
+    d = docs(spark, rows)
+    d.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (4, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(0, "same text here now indeed"), (1, None), (None, "x")], "item_id long, text string").write.parquet(
+        f"{path}/benchmark.parquet")
+    spark.createDataFrame([(1, "u", None), (None, None, "<p>Text here. Yes.</p>")], "page_id long, url string, html string").write.parquet(
+        f"{path}/pages.parquet")
+    spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (None, [1.0, 1.0]), (2, [])], "vec_id long, embedding array<float>").write.parquet(
+        f"{path}/embeddings.parquet")
+    return d
+
+
+def test_awkward_rows_pass_every_query_and_stage(spark, tmp_path):
+    import corpus_pipeline
+    from tests.llm.helpers import AWKWARD
+    rows = [(*r, None, None) for r in AWKWARD] + [(50, "\u0000 odd", "", ""), (51, "a\nb", "s", "en")]
+    d = tables(spark, str(tmp_path), rows)
+    for name, query in llm_queries().items():
+        n = query(spark, str(tmp_path)).count()
+        if name.split("_")[0] in ("op3", "op4", "op6", "op7", "op9", "op10"):
+            assert n == len(rows), name
+    clashing = d.withColumns({c: d["n_chars"] for c in ("id", "k1", "row", "line", "toxicity", "gap")})
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, clashing, str(tmp_path)).count() >= 0
+        assert stage(spark, clashing.limit(0), str(tmp_path)).count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).where("doc_id = 51").count() >= 0
+
+
+def test_empty_tables(spark, tmp_path):
+    tables(spark, str(tmp_path / "full"), [(1, "a b c", "s", "en")])
+    for t in ("documents", "labels", "benchmark", "pages", "embeddings"):
+        spark.read.parquet(str(tmp_path / "full" / f"{t}.parquet")).limit(0).write.parquet(str(tmp_path / "none" / f"{t}.parquet"))
+    for name, query in llm_queries().items():
+        assert query(spark, str(tmp_path / "none")).count() == 0, name
