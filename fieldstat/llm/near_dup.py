@@ -155,10 +155,12 @@ def links(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     """Verified links (leader, member, similarity) of candidate pairs; ``texts`` has id and text."""
     pairs = stored(pairs, "near-pairs")
     nodes = pairs.select(F.explode(F.array("leader", "member")).alias("id")).distinct()
-    used = stored(texts.join(nodes, "id", "left_semi"), "near-texts")
+    # The lists of ids grow with the corpus: texts meet them by a shuffle at every size, never by a broadcast.
+    used = stored(texts.join(nodes.hint("merge"), "id", "left_semi"), "near-texts")
     weight = pairs.groupBy("leader").count()
-    leaders = used.join(weight, used["id"] == weight["leader"]).select("leader", F.col("text").alias("leader_text"), "count")
-    members = pairs.join(used.select(F.col("id").alias("member"), F.col("text").alias("member_text")), "member")
+    leaders = used.join(weight.hint("merge"), used["id"] == weight["leader"]).select(
+        "leader", F.col("text").alias("leader_text"), "count")
+    members = pairs.hint("merge").join(used.select(F.col("id").alias("member"), F.col("text").alias("member_text")), "member")
     both = salted_join(members, leaders, ["leader"], "count", ["member"], rows_per_salt=200)
     checked = both.select("leader", "member", "leader_text", "member_text").mapInArrow(
         _verified, "leader long, member long, similarity double")
