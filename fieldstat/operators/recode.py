@@ -1,4 +1,4 @@
-"""Recoding, ordered labels and label decoding."""
+"""Recoding by dictionary and ordered labels."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstat.functions.columns import ordinal, recode
+from fieldstat.functions.columns import ordinal
 
 
 def mapping_table(spark: SparkSession, groups: Mapping[str, Sequence[str]],
