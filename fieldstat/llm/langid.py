@@ -41,6 +41,7 @@ SAMPLE = 800             # rows of each language
 LANGUAGES = 200
 EPOCHS = 12
 ERROR = 0.01
+HASHES = 1 << 40
 UNKNOWN = "und"
 LETTER = "\\p{L}"
 
@@ -175,12 +176,17 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on a bounded sample of ``rows``; None if there is nothing to learn."""
     named = rows.where(F.col(lang_col).isNotNull() & (F.col(lang_col) != "") & F.col(id_col).isNotNull())
     frequent = named.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    languages = sorted(r[0] for r in frequent.select("lang").collect())
+    counts = {r[0]: r[1] for r in frequent.collect()}
+    languages = sorted(counts)
     if not languages:
         return None
+    # Only hashes low enough to be among the first of their language are ranked, so a
+    # frequent language brings its ranking no more rows than a rare one.
+    low = F.create_map(*[F.lit(x) for k in languages for x in (k, int(HASHES * min(1.0, 2.0 * per_language / counts[k])))])
     first = Window.partitionBy("lang").orderBy("h", "_id")
-    chosen = (named.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-              .where(F.col("lang").isin(languages)).withColumn("nth", F.row_number().over(first))
+    chosen = (named.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"),
+                           F.pmod(F.xxhash64(id_col), F.lit(HASHES)).alias("h"))
+              .where(F.col("h") < F.element_at(low, F.col("lang"))).withColumn("nth", F.row_number().over(first))
               .where(F.col("nth") <= per_language).select("_id", "lang").distinct())
     texts = (rows.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
              .join(F.broadcast(chosen), "_id").select("lang", "text"))
