@@ -1,22 +1,25 @@
 """Operator 8: benchmark decontamination by spaced seeds (DataFrame functions only).
 
-Fixed masks of ``SPAN`` tokens hash some positions and ignore the others, so a
-window whose substituted words fall on ignored positions still hits. The hash
-of each mask at each position of each text meets the hashes of the benchmark
-in a broadcast join; around each hit the whole window is compared on its
-diagonal, and it counts if at least ``IDENTITY`` of its words agree.
+Masks of ``SPAN`` tokens hash some positions and ignore the others, so a
+window whose substituted words fall on ignored positions still hits. The window
+is cut into pieces and the masks leave out every choice of as many pieces as
+words may differ, so that every window that counts is hit by at least one. The
+hash of each mask at each position of each text meets the hashes of the
+benchmark in a broadcast join; around each hit the whole window is compared on
+its diagonal, and it counts if at least ``IDENTITY`` of its words agree.
 
 The benchmark is a stated query set: it is taken in blocks of at most
 ``BLOCK_WINDOWS`` windows, each block is broadcast, and the corpus is
 passed once per block. Nothing of the corpus is shuffled but the hits.
 
 Defined results: null and empty texts match nothing. Items of 5 to ``SPAN``-1
-words must occur whole and unchanged; items under ``MIN_WORDS`` words, null or
+words are one window of their own length; items under ``MIN_WORDS`` words, null or
 empty ones match nothing. Rows with equal id and text give equal results.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -24,14 +27,24 @@ from pyspark.sql import functions as F
 
 from fieldstat.llm.tables import n_words, row_key, word_line
 
-# Fixed masks: nine of thirteen positions are compared.
-MASKS = ("1101100110111", "1011011101011", "1110101101101")
 SPAN = 13
 MIN_WORDS = 5
 IDENTITY = 0.8
 BLOCK_WINDOWS = 100_000
 
 
+def masks(span: int, identity: float = IDENTITY) -> tuple[str, ...]:
+    """Masks of which at least one looks at equal words only, wherever as many words of a window differ as may."""
+    differ = math.floor(span * (1 - identity) + 1e-9)
+    pieces = min(span, {0: 1, 1: 5}.get(differ, differ + 2))
+    piece = [i * pieces // span for i in range(span)]
+    return tuple("".join("0" if p in out else "1" for p in piece) for out in itertools.combinations(range(pieces), differ))
+
+
+# Two of thirteen words may differ: six masks, each of two of four pieces.
+MASKS = masks(SPAN)
+
+
 def _masked(tokens: Column, at: Column, mask: str, tag: int) -> Column:
     return F.xxhash64(F.lit(tag), *[F.get(tokens, at + j) for j, m in enumerate(mask) if m == "1"])
 
@@ -69,17 +82,18 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     found = None
     for block in range(blocks):
         mine = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        for span, masks in [(SPAN, MASKS), *[(s, ("1" * s,)) for s in short]]:
-            keys = _windows(mine.where(F.col("n") >= SPAN if span == SPAN else F.col("n") == span), span, masks)
+        for span in (SPAN, *short):
+            used = masks(span, identity)
+            keys = _windows(mine.where(F.col("n") >= SPAN if span == SPAN else F.col("n") == span), span, used)
             keys = keys.select("h", "item", F.slice("toks", F.col("at") + 1, span).alias("want"))
-            hits = _windows(tokens, span, masks).join(F.broadcast(keys), "h")
+            hits = _windows(tokens, span, used).join(F.broadcast(keys), "h")
             # Only hits are compared, outside the generated loop over all windows, which must stay small to be compiled.
             same = F.size(F.filter(F.zip_with(F.slice("toks", F.col("at") + 1, span), "want", lambda x, y: x == y),
                                    lambda equal: equal))
             hits = hits.select("d", "k1", "k2", "item", "at", (same / F.lit(float(span))).alias("identity"),
-                               F.lit(span).alias("span"), F.lit(identity if span == SPAN else 1.0).alias("least"))
+                               F.lit(span).alias("span"))
             found = hits if found is None else found.unionByName(hits)
-    fine = F.col("identity") >= F.col("least")
+    fine = F.col("identity") >= identity
     pairs = (found.groupBy("k1", "k2", F.col("d").alias(id_col), F.col("item").alias(item_col))
              .agg(F.min(F.when(fine, F.col("at"))).cast("long").alias("first_word"),
                   F.max(F.when(fine, F.col("at") + F.col("span") - 1)).cast("long").alias("last_word"),

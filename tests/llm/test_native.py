@@ -1,6 +1,7 @@
 """Operators 3, 4, 8 and 10 against plain Python, on awkward rows."""
 
 import hashlib
+import itertools
 from collections import Counter, defaultdict
 
 import pytest
@@ -174,6 +175,21 @@ def test_decontam(spark):
     assert decontam.overlaps(d, bench.limit(0)).count() == 0 and decontam.overlaps(d.limit(0), bench).count() == 0
 
 
+def test_decontam_finds_every_window_that_counts(spark):
+    # Every place of as many changed words as a window may have, for whole windows and for short items.
+    items, rows = [], []
+    for n in range(decontam.MIN_WORDS, decontam.SPAN + 1):
+        item = [f"i{n}w{j}" for j in range(n)]
+        items.append((n, " ".join(item)))
+        differ = int(n * (1 - decontam.IDENTITY) + 1e-9)
+        for k in (differ, differ + 1):
+            for at in itertools.combinations(range(n), k):
+                rows.append((len(rows), " ".join("new" if j in at else w for j, w in enumerate(item)), n, k <= differ))
+    d = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, n) for i, _, n, counts in rows if counts}
+
+
 def test_decontam_blocks(spark, monkeypatch):
     rows = [(i, numbered(40, i * 40)) for i in range(20)]
     items = spark.createDataFrame([(i, numbered(20, i * 40 + 5)) for i in range(0, 20, 2)], "item_id long, text string")
