@@ -3,9 +3,10 @@
 Hand-written signatures of license names are put into forms (an SPDX tag, a
 grant such as "licensed under ...", a version, a bare mention), which gives
 several hundred ordered rules of one regular expression each. A text is looked
-at by the rules only if it holds one of a few stems, and by a rule only if it
-holds the rule's keyword. Detections that lie inside one of equal or higher
-priority are suppressed; of equal intervals the higher priority stays.
+at by the rules, with its white space made single spaces, only if it holds one
+of a few stems, and by a rule only if it holds the rule's keyword. Detections
+that lie inside one of equal or higher priority are suppressed; of equal
+intervals the higher priority stays. The base scan looks at every text's words.
 
 All of it happens within the row: nothing is shuffled.
 
@@ -129,7 +130,7 @@ MENTION, GRANTED, VERSIONS, TAG = 1, 2, 3, 4
 SURE = {MENTION: 0.6, GRANTED: 0.8, VERSIONS: 0.9, TAG: 1.0}
 BASE_SURE = 0.5
 # A text with a detection holds one of these stems.
-STEMS = r"licen[cs]|public domain|cc0|cc[ -]by|creative commons|wtfpl|bsd|mit[- ](?:0|no )|spdx"
+STEMS = r"licen[cs]|public\s+domain|cc0|cc(?:-|\s+)by|creative\s+commons|wtfpl|bsd|mit(?:-|\s+)(?:0|no\s)|spdx"
 
 
 def rules() -> list[tuple[str, int, str, str]]:
@@ -229,14 +230,13 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.col(text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("row"),
                        word_line(text).alias("line"),
-                       F.when(F.lower(text).rlike(STEMS), ascii_lower(text)).alias("low"))
+                       F.when(F.lower(text).rlike(STEMS), F.regexp_replace(ascii_lower(text), r"\s+", " ")).alias("low"))
     # "line" and "low" are used more than once above, so the optimiser keeps them as columns.
     base = _base(F.col("line"), F.col("n"))
     empty = F.array().cast("array<struct<start:int,back:int,low:int,label:string>>")
-    rows = (rows.withColumn("n", n_words(F.col("line"))).select("row", "n", "line", "low", *[
-        F.when(F.col("low").isNull(), F.lit(0 if k == "n_base" else None)).otherwise(v).alias(k) for k, v in base.items()]))
+    rows = rows.withColumn("n", n_words(F.col("line"))).select("row", "n", "line", "low", *[v.alias(k) for k, v in base.items()])
     rows = rows.withColumn("all", surviving(F.when(F.col("low").isNull(), empty).otherwise(detections(F.col("low")))))
-    labels = F.coalesce(F.col("base"), F.array().cast("array<string>"))
+    labels = F.col("base")
     out = {
         "n_words": F.col("n").cast("long"), "n_base": F.col("n_base").cast("long"),
         "first_word": F.col("first_word").cast("long"), "last_word": F.col("last_word").cast("long"),

@@ -91,6 +91,18 @@ def test_license_suppression(spark):
     assert out.columns.count("labels") == 1 and out.head().low == 3 and license.scan(d.limit(0)).count() == 0
 
 
+def test_license_white_space(spark):
+    # None of these holds another stem, so nothing else opens the base scan.
+    rows = [(i, t) for i, t in enumerate(["CC\nBY", "CC BY", "CC/BY", "cc_by x", "CC: BY", "a cc  by b", "xcc by"])]
+    got = license.scan(docs(spark, rows)).collect()
+    assert Counter((r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got) == Counter(brute_base(t) for _, t in rows)
+    assert all(r.score >= license.BASE_SURE and "cc-by" in r.labels for r in got if r.n_base) and sum(r.n_base for r in got) == 6
+    wrapped = [(1, "the GNU Lesser General\nPublic License,\n  version 2.1"), (2, "Mozilla  Public\t License"), (3, "placed into\nthe public\r\ndomain"),
+               (4, "Creative\nCommons  Zero"), (5, "licensed\nunder the terms  of the zlib\nlicense")]
+    got = {r.doc_id: r.labels for r in license.scan(docs(spark, wrapped)).collect()}
+    assert got == {1: "lgpl-2.1", 2: "mpl", 3: "public-domain", 4: "cc0", 5: "zlib"}
+
+
 def water(sizes, weights=(5, 2, 1), cap=3):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(order)}
