@@ -530,9 +530,9 @@ def q_tree_cv(spark, sf_dir):
 
 @query("tree_refit")
 def q_tree_refit(spark, sf_dir):
-    """The best tree of the depth scenario, refitted on the whole training set; test predictions."""
+    """The best tree of the best scenario, refitted on the whole training set; test predictions."""
     tr, te = wide(spark, sf_dir)
-    _, best = ML.search(folded(spark, sf_dir), FEATS, ML.tree, {"S1": ML.TREE_SCENARIOS["S1"]})
+    _, best = ML.search(folded(spark, sf_dir), FEATS, ML.tree, ML.TREE_SCENARIOS)
     return ML.predict(ML.fit(tr, FEATS, ML.tree(**best)), te)
 
 
@@ -542,6 +542,14 @@ def q_forest_cv(spark, sf_dir):
     return ML.search(folded(spark, sf_dir), FEATS, ML.forest, ML.FOREST_SCENARIOS)[0]
 
 
+@query("forest_refit")
+def q_forest_refit(spark, sf_dir):
+    """The best forest of the best scenario, refitted on the whole training set; test predictions."""
+    tr, te = wide(spark, sf_dir)
+    _, best = ML.search(folded(spark, sf_dir), FEATS, ML.forest, ML.FOREST_SCENARIOS)
+    return ML.predict(ML.fit(tr, FEATS, ML.forest(**best)), te)
+
+
 @query("pca")
 def q_pca(spark, sf_dir):
     """K4: explained variance of every component."""

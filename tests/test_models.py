@@ -99,3 +99,17 @@ def test_adjacent_share(spark):
     d = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "c"), ("c", "c")], "label string, prediction string")
     r = S.adjacent_error_share(S.error_pairs(d, "label", "prediction", ["a", "b", "c"])).head()
     assert (r.errors, r.adjacent_share) == (3, 0.6667)
+
+
+@pytest.mark.parametrize("name, scenario, wins", [("tree", "S2", {"minInstancesPerNode": 20, "minInfoGain": 0.01}),
+                                                  ("tree", "S3", {"impurity": "entropy", "maxDepth": 5}),
+                                                  ("forest", "S2", {"maxDepth": 3, "featureSubsetStrategy": "log2"})])
+def test_refit_takes_the_best_set_of_all_scenarios(spark, monkeypatch, name, scenario, wins):
+    from fieldstat.plans import all_queries
+    grids = {"tree": ML.TREE_SCENARIOS, "forest": ML.FOREST_SCENARIOS}[name]
+    assert wins in ML.parameter_sets(grids[scenario])
+    monkeypatch.setattr(ML, "cross_validate", lambda train, cols, make, sets, **kw: [[1.0, 1.0] if s == wins else [0.5, 0.5] for s in sets])
+    made, make = [], getattr(ML, name)
+    monkeypatch.setattr(ML, name, lambda **params: made.append(params) or make(**params))
+    out = all_queries()[f"{name}_refit"](spark, "/root/testdata/sf0.001")
+    assert made == [wins] and out.count() > 0
