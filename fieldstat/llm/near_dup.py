@@ -6,9 +6,12 @@ For each shingle a Poisson process of the weight's rate deals arrivals over
 later than the latest first arrival cannot matter, so the processes stop there.
 Two texts agree in a component with the probability Jaccard similarity. Bands
 of ``ROWS`` components make buckets; every member of a bucket is compared with
-the bucket's smallest and its largest id, never with all others; candidates
-are verified by the exact similarity of the whole texts; connected verified
-links are a class.
+the bucket's smallest and its largest id; candidates are verified by the exact
+similarity of the whole texts; connected verified links are a class. A bucket
+whose members are then all in one class is settled. In the others every pair of
+members that are not yet in one class is compared, in tiles of ``TILE`` x
+``TILE`` texts, so that classes are those of all similar pairs that share a
+bucket, and no task holds more than a tile of a hot bucket.
 
 Exact copies are collapsed by a 128-bit hash before anything else, so a group
 of copies costs one text. Hot buckets, hot partners and hot copy groups are
@@ -38,6 +41,7 @@ K = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 25
 SIZE = ROWS * BANDS
+TILE = 200               # texts on either side of a tile of an open bucket
 ARRIVALS = 200           # arrivals drawn at once for a text, at least one for each of its shingles
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 
@@ -109,6 +113,15 @@ def similarity(h: np.ndarray, x: np.ndarray, y: np.ndarray) -> float:
     return float((x[(x > 0) & (y > 0)] / (r * less + more)).sum())
 
 
+def weighted_similarity(ha: np.ndarray, na: np.ndarray, hb: np.ndarray, nb: np.ndarray) -> float:
+    """Similarity of two texts by their sorted shingles and counts."""
+    every = np.union1d(ha, hb)
+    x, y = np.zeros(len(every), np.int64), np.zeros(len(every), np.int64)
+    x[np.searchsorted(every, ha)] = na
+    y[np.searchsorted(every, hb)] = nb
+    return similarity(every, x, y)
+
+
 def pair_similarities(left: pa.Array, right: pa.Array, k: int = K) -> np.ndarray:
     """Similarity of each pair of texts."""
     sides = []
@@ -123,11 +136,7 @@ def pair_similarities(left: pa.Array, right: pa.Array, k: int = K) -> np.ndarray
     for i, ((ha, na), (hb, nb)) in enumerate(zip(*sides)):
         if not len(ha) or not len(hb):
             continue
-        every = np.union1d(ha, hb)
-        x, y = np.zeros(len(every), np.int64), np.zeros(len(every), np.int64)
-        x[np.searchsorted(every, ha)] = na
-        y[np.searchsorted(every, hb)] = nb
-        out[i] = similarity(every, x, y)
+        out[i] = weighted_similarity(ha, na, hb, nb)
     return out
 
 
@@ -167,6 +176,67 @@ def links(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Data
     return checked.where(F.col("similarity") >= least)
 
 
+def _tile_links(least: float):
+    """Verified links of one tile: members of two classes, each pair only in the first bucket that both are in."""
+    def found(tile: pa.Table) -> pa.Table:
+        ids, classes = tile.column("id").to_numpy(), tile.column("class_id").to_numpy()
+        half = tile.column("half").to_numpy()
+        keys = np.array(tile.column("keys").to_pylist(), np.int64)
+        same = tile.column("a")[0].as_py() == tile.column("b")[0].as_py()
+        left = np.flatnonzero(half == tile.column("a")[0].as_py())
+        right = left if same else np.flatnonzero(half != tile.column("a")[0].as_py())
+        texts, out = [], []
+        if not len(left) or not len(right):
+            left = right = left[:0]
+        band = int(np.argmax(keys[0] == tile.column("key")[0].as_py()))
+        for _, to, raw, off in tk.chunks(tile.column("text")):
+            doc, h, n = tk.counted(*tk.shingles(tk.words(raw, off), K))
+            cut = np.searchsorted(doc, np.arange(len(off)))
+            texts += [(h[a:b], n[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+        for i in left:
+            others = right[right > i] if same else right
+            others = others[(classes[others] != classes[i]) & (ids[others] != ids[i])]
+            others = others[~(keys[others, :band] == keys[i, :band]).any(1)]
+            for j in others:
+                s = weighted_similarity(*texts[i], *texts[j])
+                if s >= least:
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j]), s))
+        x, y, s = zip(*out) if out else ((), (), ())
+        return pa.table({"leader": pa.array(x, pa.int64()), "member": pa.array(y, pa.int64()), "similarity": pa.array(s, pa.float64())})
+
+    return found
+
+
+def links_across(reps: DataFrame, classes: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Verified links between members of a bucket that ``classes`` (id, class_id) leaves in several classes.
+
+    ``reps`` has id and keys, ``texts`` id and text. A bucket's ends have been compared with all its members.
+    """
+    placed = reps.select("id", "keys").join(classes.hint("merge"), "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    placed = stored(placed, "near-placed")
+    buckets = placed.select("id", "class_id", F.explode("keys").alias("key"))
+    parts = buckets.groupBy("key", "class_id").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
+    several = (parts.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"),
+                                        F.max(F.struct("n", "class_id")).alias("most"), F.count("*").alias("classes"))
+               .where((F.col("n") > 3) & (F.col("classes") > 1)))
+    several = stored(several.select("key", "low", "high", "n", F.col("most.class_id").alias("most"),
+                                    F.ceil(F.col("most.n") / TILE).cast("int").alias("own"),
+                                    F.ceil((F.col("n") - F.col("most.n")) / TILE).cast("int").alias("rest")), "near-several")
+    inside = salted_join(buckets, several, ["key"], "n", ["id"]).where((F.col("id") != F.col("low")) & (F.col("id") != F.col("high")))
+    # Halves 0 to rest - 1 hold the other classes, those after them the largest class, which need not meet itself.
+    large = F.col("class_id") == F.col("most")
+    half = F.when(large, F.col("rest") + F.pmod(F.xxhash64("id"), F.col("own"))).otherwise(F.pmod(F.xxhash64("id"), F.col("rest")))
+    inside = inside.select("id", "key", half.cast("int").alias("half"),
+                           F.when(large, F.col("rest")).otherwise(F.col("rest") + F.col("own")).alias("halves"))
+    inside = stored(inside, "near-inside")
+    weight = inside.groupBy("id").agg(F.count("*").alias("n"))
+    one = texts.dropDuplicates(["id"]).join(weight.hint("merge"), "id").join(placed.hint("merge"), "id")
+    rows = inside.hint("merge").join(one.drop("n"), "id")
+    tiles = rows.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("halves") - 1))).select(
+        "key", F.least("half", "to").alias("a"), F.greatest("half", "to").alias("b"), "half", "id", "class_id", "keys", "text")
+    return tiles.groupBy("key", "a", "b").applyInArrow(_tile_links(least), "leader long, member long, similarity double")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, class_id): the smallest id connected with each id of ``edges`` (u, v).
 
@@ -205,11 +275,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = stored(prints, "near-keys")
     groups = stored(prints.groupBy("f1", "f2").agg(F.min("id").alias("copy_of"), F.count("*").alias("n")), "near-copies")
     reps = prints.join(groups.select("f1", "f2", F.col("copy_of").alias("id")), ["f1", "f2", "id"], "left_semi")
-    found = stored(links(candidates(reps.dropDuplicates(["id", "f1"])), rows.select("id", "text").where("id is not null"), least),
-                   "near-links")
+    reps = reps.dropDuplicates(["id", "f1"])
+    texts = rows.select("id", "text").where("id is not null")
+    found = stored(links(candidates(reps), texts, least), "near-links")
+    classes = components(found.select(F.col("leader").alias("u"), F.col("member").alias("v")))
+    across = stored(links_across(reps, classes, able.select("id", "text", "f1", "f2"), least).distinct(), "near-across")
+    if not across.isEmpty():
+        found = found.unionByName(across)
+        classes = components(found.select(F.col("leader").alias("u"), F.col("member").alias("v")))
     ends = found.select(F.explode(F.array("leader", "member")).alias("id"))
     degree = ends.groupBy("id").agg(F.count("*").alias("n_links"))
-    classes = components(found.select(F.col("leader").alias("u"), F.col("member").alias("v")))
     groups = (groups.join(classes.withColumnRenamed("id", "copy_of"), "copy_of", "left")
               .join(degree.withColumnRenamed("id", "copy_of"), "copy_of", "left"))
     placed = salted_join(prints.select("id", "f1", "f2"), stored(groups, "near-groups"), ["f1", "f2"], "n", ["id"])

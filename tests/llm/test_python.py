@@ -318,3 +318,35 @@ def test_language(spark):
     assert langid.train(d.limit(0)) is None
     assert {r.lang_pred for r in langid.predict(docs(spark, [(1, "abc")]), None).collect()} == {"und"}
     assert langid.predict(d.limit(0), None).count() == 0
+
+
+def test_template_family_by_brute_force(spark):
+    # Many texts on one template, alike below the threshold, and true pairs among them that are alike above it.
+    rng = np.random.default_rng(11)
+    base = [f"t{i}" for i in range(240)]
+
+    def variant(words, tag, n):
+        out = list(words)
+        for at in rng.choice(len(out), n, replace=False):
+            out[at] = f"{tag}v{at}"
+        return out
+
+    rows = []
+    for g in range(150):
+        one = variant(base, f"a{g}", 4)
+        rows.append((int(rng.permutation(10)[0]) * 1000 + 2 * g, " ".join(one)))
+        rows.append((int(rng.permutation(10)[0]) * 1000 + 2 * g + 1, " ".join(variant(one, f"b{g}", 4))))
+    got = near_dup.near_duplicates(docs(spark, rows))
+    assert sorted((r.doc_id, r.class_id) for r in got.collect()) == brute_classes(rows)
+
+
+def test_open_buckets_in_tiles(spark, monkeypatch):
+    # One bucket holds all texts; pairs alike are never its ends.
+    monkeypatch.setattr(near_dup, "TILE", 3)
+    texts = [prose(100) for _ in range(6)]
+    rows = [(10 * i + j, t if not j else t + " one more") for i, t in enumerate(texts) for j in range(2)]
+    rows += [(-1, prose(100)), (999, prose(100))]
+    reps = spark.createDataFrame([(i, [7, i * 31 % 5]) for i, _ in rows], "id long, keys array<long>")
+    classes = spark.createDataFrame([(1, 0)], "id long, class_id long")
+    got = near_dup.links_across(reps, classes, spark.createDataFrame(rows, "id long, text string")).collect()
+    assert sorted((r.leader, r.member) for r in got) == [(10 * i, 10 * i + 1) for i in range(1, 6)]
