@@ -34,19 +34,22 @@ def _buckets(df: DataFrame, buckets: int | None) -> int:
 
 def running_total(df: DataFrame, order: Sequence[Column | str], groups: Sequence[str] = (),
                   value: Column | None = None, out: str = "rn", total: str | None = None,
-                  exclusive: bool = False, buckets: int | None = None) -> DataFrame:
+                  exclusive: bool = False, buckets: int | None = None,
+                  deal_by: Sequence[Column | str] | None = None) -> DataFrame:
     """Running count (``value`` None: a row number) or running sum of ``value`` within
     ``groups`` in the total order ``order`` (give a unique tie-break for determinism).
 
     NULL is a group of its own. ``total`` names an optional column with the
     group's grand total. A range partitioning cannot split equal order keys, so
-    callers that need order statistics only count equal values first.
+    callers that need order statistics only count equal values first. ``deal_by``
+    are shorter keys in the same order to partition by (range bounds are sampled
+    on the driver, so a long text should not be one).
     """
     groups = list(groups)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     v = value if value is not None else F.lit(1).cast("bigint")
     keyed = df.withColumn("_v", v)
-    ranged = (keyed.repartitionByRange(_buckets(df, buckets), *[F.col(g) for g in groups], *order)
+    ranged = (keyed.repartitionByRange(_buckets(df, buckets), *[F.col(g) for g in groups], *(deal_by or order))
                    .withColumn("_b", F.spark_partition_id()))
     # Fix the bucket of every row once: both branches below read the same rows.
     ranged = materialise(ranged)
