@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in llm_queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in llm_queries()] == [f"op{i}" for i in range(1, 14)]
     assert {"pipeline", *llm_queries()} <= set(E.queries())
 
 
@@ -58,6 +58,8 @@ def tables(spark, path, rows):
         f"{path}/pages.parquet")
     spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (None, [1.0, 1.0]), (2, [])], "vec_id long, embedding array<float>").write.parquet(
         f"{path}/embeddings.parquet")
+    spark.createDataFrame([(1, 0, "user", None), (1, None, None, "b."), (None, 1, "assistant", ""), (2, 5, "system", "c.")],
+                          "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     return d
 
 
@@ -68,7 +70,7 @@ def test_awkward_rows_pass_every_query_and_stage(spark, tmp_path):
     d = tables(spark, str(tmp_path), rows)
     for name, query in llm_queries().items():
         n = query(spark, str(tmp_path)).count()
-        if name.split("_")[0] in ("op3", "op4", "op6", "op7", "op9", "op10"):
+        if name.split("_")[0] in ("op3", "op4", "op6", "op7", "op9", "op10", "op12"):
             assert n == len(rows), name
     clashing = d.withColumns({c: d["n_chars"] for c in ("id", "k1", "row", "line", "toxicity", "gap")})
     for name, stage in corpus_pipeline.STAGES:
@@ -79,7 +81,7 @@ def test_awkward_rows_pass_every_query_and_stage(spark, tmp_path):
 
 def test_empty_tables(spark, tmp_path):
     tables(spark, str(tmp_path / "full"), [(1, "a b c", "s", "en")])
-    for t in ("documents", "labels", "benchmark", "pages", "embeddings"):
+    for t in ("documents", "labels", "benchmark", "pages", "embeddings", "conversations"):
         spark.read.parquet(str(tmp_path / "full" / f"{t}.parquet")).limit(0).write.parquet(str(tmp_path / "none" / f"{t}.parquet"))
     for name, query in llm_queries().items():
         assert query(spark, str(tmp_path / "none")).count() == 0, name
