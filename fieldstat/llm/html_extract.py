@@ -14,7 +14,8 @@ nothing is shuffled. The model is a few hundred numbers.
 
 Defined results: null, empty and tagless pages without text give an empty
 text; a page without any element is one block of text under a root that the
-model judges as any other. Broken markup is read leniently: unknown end tags
+model judges as any other, and learns to keep. No attribute of a page to extract is
+read as a label. Broken markup is read leniently: unknown end tags
 are skipped, open elements end with their parent. Rows are extracted alone, so
 repeated rows get equal results. Columns that the input has under the names of
 the result's columns are replaced.
@@ -81,7 +82,7 @@ WORDS = {
 LEXICON = {w: group for group, ws in WORDS.items() for w in ws.split()}
 KINDS = tuple(dict.fromkeys(TAGS.values())) + ("other",)
 EXTRA = ("hidden", "no_text", "short", "long", "links_some", "links_most", "sentences", "many_sentences",
-         "own_text", "copyright", "bias")
+         "own_text", "copyright", "alone", "bias")
 NAMES = tuple(f"t_{k}" for k in KINDS) + tuple(WORDS) + EXTRA
 AT = {name: i for i, name in enumerate(NAMES)}
 # Kinds of child that have a table of pairwise potentials of their own.
@@ -127,8 +128,12 @@ def _cues(attrs: dict[str, str]) -> tuple[str, ...]:
     return tuple(sorted(out))
 
 
-def parse(html: str) -> Page:
-    """Read a page leniently."""
+MARK = "data-main"      # attribute of labelled pages: 1 or 0
+
+
+def parse(html: str, mark_name: str | None = MARK) -> Page:
+    """Read a page leniently. Pages to learn from have an attribute ``mark_name`` that says 1 or 0 (any
+    other value is none); None for pages to extract, whose attributes of that name mean nothing."""
     page = Page()
     stack = [0]
     silent = 0
@@ -191,7 +196,9 @@ def parse(html: str) -> Page:
         inline = name in INLINE
         attrs = _attributes(rest) if "=" in rest or "hidden" in rest else {}
         cues = _cues(attrs) if attrs else ()
-        mark = attrs.get("data-main") if attrs else None
+        mark = attrs.get(mark_name) if attrs and mark_name else None
+        if mark not in ("0", "1"):
+            mark = None
         if inline and name == "a":
             link_at = len(stack)
         if inline and not cues and mark is None and name != "label":
@@ -272,6 +279,7 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
                      ("sentences", whole[:, 2] >= 1), ("many_sentences", whole[:, 2] >= 3),
                      ("own_text", own[:, 0] > 0), ("copyright", mark)):
         x[:, AT[name]] = on
+    x[start[:-1], AT["alone"]] = np.array(counts) == 1     # a page without any element
     x[:, AT["bias"]] = 1
     return parent, depth, kind, x
 
@@ -333,6 +341,7 @@ def fit(pages: list[Page], steps: int = 250) -> Model:
     at = 0
     for p in pages:
         mine = np.zeros(len(p.parent))
+        mine[0] = len(mine) == 1          # text without any tag is all content
         for i in range(1, len(p.parent)):
             mine[i] = mine[p.parent[i]] if p.marks[i] is None else p.marks[i]
         y[at:at + len(mine)] = mine
@@ -380,7 +389,7 @@ def _sentence(rng: random.Random, low: int = 5, high: int = 16) -> str:
     return " ".join(word() for _ in range(rng.randint(low, high))).capitalize() + "."
 
 
-def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
+def labelled_pages(n: int = 330, seed: int = 5) -> list[str]:
     """Pages in many layouts whose parts carry ``data-main`` 1 or 0, which no feature looks at."""
     rng = random.Random(seed)
     pick = rng.choice
@@ -413,6 +422,8 @@ def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
             return "<table>" + "".join(f"<tr><td>{_sentence(rng, 1, 4)}</td><td>{_sentence(rng, 1, 4)}</td></tr>" for _ in range(3)) + "</table>"
         if kind < 0.96:
             return f'<p>{text(1, 2)} <a href="/x">{_sentence(rng, 1, 3)}</a> {text(1, 2)}</p>'
+        if kind < 0.98:
+            return f"<ul>{links(rng.randint(1, 4))}</ul>"
         return f"<pre>{text(1, 2)}</pre>"
 
     def noise() -> str:
@@ -454,14 +465,22 @@ def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
 
     out = []
     for _ in range(n):
+        short = rng.random()
+        if short < 0.07:
+            out.append(pick([_sentence(rng, 2, 8)[:-1], text(1, 2), text(1, 12)]))
+            continue
         body = [f"<h1>{_sentence(rng, 3, 9)[:-1]}</h1>"] * (rng.random() < 0.85)
-        body += [para() for _ in range(rng.randint(1, 9))]
+        if short < 0.35:
+            body = []
+        body += [para() for _ in range(rng.randint(1, 2 if short < 0.35 else 9))]
+        if short < 0.35 and "<p>" not in "".join(body):
+            body.append(f"<p>{text(1, 2)}</p>")
         for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
             body.insert(rng.randint(0, len(body)), noise())
         inner = "".join(body)
         if rng.random() < 0.25:
             inner = f"<div{named('w_main')}>{inner}</div>" if rng.random() < 0.6 else f"<section>{inner}</section>"
-        kind = rng.random()
+        kind = rng.random() * (0.7 if short < 0.35 else 1)
         if kind < 0.4:
             core = f'<article{pick(["", "", named("w_main")])} data-main="1">{inner}</article>'
         elif kind < 0.55:
@@ -510,7 +529,7 @@ def extract(pages: DataFrame, model: Model | None = None, html_col: str = "html"
         for rows in batches:
             for at in range(0, rows.num_rows, batch):
                 part = rows.slice(at, batch)
-                parsed = [parse(h.as_py() or "") for h in part.column(html_col)]
+                parsed = [parse(h.as_py() or "", None) for h in part.column(html_col)]
                 texts = [main_text(p, m >= 0.5) for p, m in zip(parsed, content(parsed, shared.value))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
