@@ -69,6 +69,14 @@ def test_license_base(spark):
     assert all(0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in got)
 
 
+def test_license_many_notices_in_one_text(spark):
+    rows = [(n, "a mit license, b " * n) for n in (0, 1, 2, 3, 7, 60_000)]
+    found = {r.doc_id: r for r in license.scan(docs(spark, rows)).collect()}
+    for n, _ in rows:
+        assert (found[n].n_found, found[n].n_base, found[n].labels) == (n, n, "mit" if n else "")
+    assert len({rx for *_, rx in license.rules()}) > 500 and len(license.NAMES) + len(license.BODIES) > 150
+
+
 @pytest.mark.parametrize("text, labels", [
     ("Licensed under the Apache License, Version 2.0.", "apache,apache-2.0"),
     ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc-4.0"),
@@ -76,6 +84,11 @@ def test_license_base(spark):
     ("the GNU Lesser General Public License, version 2.1", "lgpl-2.1"),
     ("Mozilla Public License and Boost Software License", "bsl,mpl"),
     ("you need a driving license", ""),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files", "mit"),
+    ("Redistribution and use in source and binary forms, with or without\n   modification, are permitted provided", "bsd"),
+    ("GNU GPL", "gpl"), ("under GPLv3 or later", "gpl-3"), ("Apache-2.0", "apache-2.0"), ("Licensed under LGPL", "lgpl"),
+    ("Creative Commons Attribution 4.0 International", "cc-by-4.0"), ("see https://www.gnu.org/licenses/lgpl-3.0.html", "lgpl-3"),
+    ("you may redistribute the chairs in this room, without asking", ""),
 ])
 def test_license_rules(spark, text, labels):
     assert license.scan(docs(spark, [(1, text)])).head().labels == labels
