@@ -18,16 +18,17 @@ of copies costs one text. Hot buckets, hot partners and hot copy groups are
 salted. Links, components and fingerprints stay distributed.
 
 Defined results: a null text, and one without any word, is like no other and is
-a class of its own. A text of fewer than ``K`` words has one shingle. Ids
-should be unique: rows that repeat an id and a text are copies of each other,
-rows that repeat an id with another text are classed by their own text and
-share the id's links. Rows whose id is null come back with null class. An empty
+a class of its own. A text of fewer than ``K`` words has one shingle. Every
+different text is a node with a number of its own, in order of its smallest id: rows
+that repeat an id and a text are copies of each other, rows that repeat an id with
+another text are classed, linked, kept and dropped by their own text. Rows whose id is null come back with null class. An empty
 table gives no rows; other columns of the input are not looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from fieldstat.llm import textkit as tk
 from fieldstat.llm.tables import salted_join, stored
+from fieldstat.operators.ranking import running_total
 
 K = 5
 SIMILARITY = 0.8
@@ -265,32 +267,53 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("class_id"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    least: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: the id, copy_of (smallest id of the equal texts), class_id, n_links."""
+@dataclass
+class Classes:
+    """``prints``: id, f1, f2 of every row with an id and words; ``groups``: f1, f2 of every different text with copy_of (its
+    smallest id), n (rows), node (its number, in order of copy_of), kept (the least of its class), class_id, n_links."""
+
+    prints: DataFrame
+    groups: DataFrame
+    rows: DataFrame
+
+
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> Classes:
+    """Classes of near-duplicate texts. Texts are told apart by their hashes, so equal ids with different texts do not mix."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumns({"f1": F.xxhash64(F.lit(1), "text"), "f2": F.xxhash64(F.lit(2), "text")})
     able = rows.where(F.col("id").isNotNull() & F.col("text").rlike(WORD))
-    prints = able.mapInArrow(_bands, "id long, f1 long, f2 long, keys array<long>")
-    prints = stored(prints, "near-keys")
+    prints = stored(able.mapInArrow(_bands, "id long, f1 long, f2 long, keys array<long>"), "near-keys")
     groups = stored(prints.groupBy("f1", "f2").agg(F.min("id").alias("copy_of"), F.count("*").alias("n")), "near-copies")
-    reps = prints.join(groups.select("f1", "f2", F.col("copy_of").alias("id")), ["f1", "f2", "id"], "left_semi")
-    reps = reps.dropDuplicates(["id", "f1"])
-    texts = rows.select("id", "text").where("id is not null")
+    groups = stored(running_total(groups, ["copy_of", "f1", "f2"], out="node"), "near-nodes")
+    key = ["f1", "f2", "id"]
+    nodes = groups.select("f1", "f2", F.col("copy_of").alias("id"), "node")
+    reps = (prints.hint("merge").join(nodes, key).select(F.col("node").alias("id"), "f1", "keys").dropDuplicates(["id"]))
+    texts = able.join(nodes.hint("merge"), key).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
     found = stored(links(candidates(reps), texts, least), "near-links")
     classes = components(found.select(F.col("leader").alias("u"), F.col("member").alias("v")))
-    across = stored(links_across(reps, classes, able.select("id", "text", "f1", "f2"), least).distinct(), "near-across")
+    across = stored(links_across(reps, classes, texts, least).distinct(), "near-across")
     if not across.isEmpty():
         found = found.unionByName(across)
         classes = components(found.select(F.col("leader").alias("u"), F.col("member").alias("v")))
-    ends = found.select(F.explode(F.array("leader", "member")).alias("id"))
-    degree = ends.groupBy("id").agg(F.count("*").alias("n_links"))
-    groups = (groups.join(classes.withColumnRenamed("id", "copy_of"), "copy_of", "left")
-              .join(degree.withColumnRenamed("id", "copy_of"), "copy_of", "left"))
-    placed = salted_join(prints.select("id", "f1", "f2"), stored(groups, "near-groups"), ["f1", "f2"], "n", ["id"])
-    placed = placed.select(F.col("id").alias(id_col), "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"),
-                           F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    alone = rows.where(F.col("id").isNull() | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
+    degree = found.select(F.explode(F.array("leader", "member")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    # The least node of a class, which ``classes`` leaves out, has its least id: nodes are numbered in order of copy_of.
+    linked = stored(classes.select(F.col("id").alias("node"), F.col("class_id").alias("class_node")), "near-linked")
+    sizes = linked.groupBy("class_node").agg(F.count("*").alias("size"))
+    heads = sizes.hint("merge").join(groups.select(F.col("node").alias("class_node"), F.col("copy_of").alias("class_id")), "class_node")
+    named = salted_join(linked, heads, ["class_node"], "size", ["node"])
+    groups = (groups.hint("merge").join(named.select("node", "class_node", "class_id"), "node", "left").join(degree.hint("merge"), "node", "left")
+              .select("f1", "f2", "copy_of", "n", F.coalesce(F.col("class_node") == F.col("node"), F.lit(True)).alias("kept"),
+                      F.coalesce("class_id", "copy_of").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return Classes(prints.select("id", "f1", "f2"), stored(groups, "near-groups"), rows)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    least: float = SIMILARITY) -> DataFrame:
+    """One row per row of ``docs``: the id, copy_of (smallest id of the equal texts), class_id, n_links."""
+    found = classify(docs, id_col, text_col, least)
+    placed = salted_join(found.prints, found.groups, ["f1", "f2"], "n", ["id"])
+    placed = placed.select(F.col("id").alias(id_col), "copy_of", "class_id", "n_links")
+    alone = found.rows.where(F.col("id").isNull() | ~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
     return placed.unionByName(alone.select(
         F.col("id").alias(id_col), F.col("id").alias("copy_of"), F.col("id").alias("class_id"),
         F.lit(0).cast("long").alias("n_links")))
@@ -298,13 +321,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with only the smallest id of every class; of rows that repeat it, one.
-
-    Rows without words stay; rows without id stay too, one of those with equal text.
-    """
-    found = near_duplicates(docs, id_col, text_col, least)
-    gone = found.where(F.col("class_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
+    """``docs`` with one row of every class: the smallest id, of equal ids the smallest text hash.
+
+    Rows are told apart by id and text, so a row that shares its id with another text stays or goes by its
+    own text. Rows without words and rows without id stay, one of those that are equal in id and text."""
+    found = classify(docs, id_col, text_col, least)
+    placed = salted_join(found.prints, found.groups, ["f1", "f2"], "n", ["id"])
+    gone = placed.where(~F.col("kept") | (F.col("id") != F.col("copy_of"))).select(
+        F.col("id").alias("_id"), F.col("f1").alias("_f1"), F.col("f2").alias("_f2")).distinct()
     gone = stored(gone, "near-gone")
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    nameless = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))
-    return kept.withColumn("_nameless", nameless).dropDuplicates([id_col, "_nameless"]).drop("_nameless")
+    keyed = docs.withColumns({"_f1": F.xxhash64(F.lit(1), text_col), "_f2": F.xxhash64(F.lit(2), text_col),
+                              "_id": F.col(id_col).cast("long")})
+    kept = keyed.join(gone, ["_id", "_f1", "_f2"], "left_anti")
+    return kept.dropDuplicates(["_id", "_f1", "_f2"]).drop("_id", "_f1", "_f2")
