@@ -165,10 +165,10 @@ def _sample_subwords(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             d, b, n = tk.counted(doc, bucket)
             cut = np.searchsorted(d, np.arange(to - at + 1))
             buckets = [b[x:y].astype(np.uint16).tobytes() for x, y in zip(cut[:-1], cut[1:])]
-            counts = [np.minimum(n[x:y], 65535).astype(np.uint16).tobytes() for x, y in zip(cut[:-1], cut[1:])]
+            counts = [n[x:y].astype(np.uint32).tobytes() for x, y in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang").slice(at, to - at), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())],
-                ["lang", "buckets", "counts"])
+                [batch.column(c).slice(at, to - at) for c in ("lang", "h")] + [pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())],
+                ["lang", "h", "buckets", "counts"])
 
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -188,12 +188,15 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                            F.pmod(F.xxhash64(id_col), F.lit(HASHES)).alias("h"))
               .where(F.col("h") < F.element_at(low, F.col("lang"))).withColumn("nth", F.row_number().over(first))
               .where(F.col("nth") <= per_language).select("_id", "lang").distinct())
-    texts = (rows.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-             .join(F.broadcast(chosen), "_id").select("lang", "text"))
-    got = texts.mapInArrow(_sample_subwords, "lang string, buckets binary, counts binary").toArrow()
+    # A row is learnt under its own language only; of an id that repeats, no more rows than the bound.
+    texts = (named.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+             .join(F.broadcast(chosen), ["_id", "lang"]).select("lang", F.xxhash64("_id").alias("h"), "text"))
+    found = texts.mapInArrow(_sample_subwords, "lang string, h long, buckets binary, counts binary")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "buckets", "counts"))
+    got = found.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "buckets", "counts").toArrow()
     packed = sorted(zip(*[got.column(c).to_pylist() for c in ("buckets", "counts", "lang")]))
     code = {x: i for i, x in enumerate(languages)}
-    return fit([(np.frombuffer(b, np.uint16).astype(np.int32), np.frombuffer(c, np.uint16).astype(float))
+    return fit([(np.frombuffer(b, np.uint16).astype(np.int32), np.frombuffer(c, np.uint32).astype(float))
                 for b, c, _ in packed], np.array([code[x] for *_, x in packed], np.int64), languages)
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstat.llm import textkit as tk
+from fieldstat.llm.tables import stored
 
 BITS = 26
 PREFIXES = (4, 5, 6)
@@ -148,13 +149,14 @@ def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             doc, term = terms(raw, off)
             cut = np.searchsorted(doc, np.arange(to - at + 1))
             packed = [term[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("label").slice(at, to - at), pa.array(packed, pa.binary())],
-                                             ["label", "terms"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(at, to - at) for c in ("label", "h")] + [pa.array(packed, pa.binary())],
+                                             ["label", "h", "terms"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", per_label: int = SAMPLE) -> Machine:
-    """Fit on the bounded sample of ``labels`` (id, label), with the texts of ``docs``."""
+    """Fit on the bounded sample of ``labels`` (id, label), with the texts of ``docs``: of each label the first
+    ``per_label`` rows by a hash of their id, however often an id repeats."""
     chosen = None
     for value in (0, 1):
         some = (labels.where((F.col(label_col) == value) & F.col(id_col).isNotNull())
@@ -162,8 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 .orderBy(F.xxhash64("_id"), "_id").limit(per_label))
         chosen = some if chosen is None else chosen.unionByName(some)
     texts = (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-             .join(F.broadcast(chosen), "_id").select("label", "text"))
-    rows = texts.mapInArrow(_sample_terms, "label int, terms binary").toArrow()
+             .join(F.broadcast(chosen), "_id").select("label", F.xxhash64("_id").alias("h"), "text"))
+    found = stored(texts.mapInArrow(_sample_terms, "label int, h long, terms binary"), "toxicity-sample")
+    first = [found.where(F.col("label") == value).orderBy("h", "terms").limit(per_label) for value in (0, 1)]
+    rows = first[0].unionByName(first[1]).toArrow()
     # The order of the rows must not matter for the fit.
     packed = sorted(zip(rows.column("label").to_pylist(), rows.column("terms").to_pylist()))
     parts = [np.frombuffer(t, np.int32).astype(np.int64) for _, t in packed]

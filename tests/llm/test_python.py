@@ -101,6 +101,40 @@ def test_labels_held_out():
     assert wrong < 0.03 * total
 
 
+HOSTILE = [
+    ('<script data-main="js/app" src="require.js"></script><article><p>Kept text of it. More.</p></article>', "Kept text of it. More."),
+    ('<article data-main=""><p>Kept text of it. More.</p></article>', "Kept text of it. More."),
+    ('<article data-main=0><p>Kept text of it. More.</p></article>', "Kept text of it. More."),
+    ('<div class="article-body" data-main="1e9" data-main><p>Kept text of it. More here.</p></div>', "Kept text of it. More here."),
+    ("<article><p>One. Two para here long enough to be text.</p></article>"
+     '<div class="related"><a href="/x">Other story</a> <a href="/y">And more</a></div>', "One. Two para here long enough to be text."),
+    ("<main><ul><li><a href=/1>First link</a></li><li><a href=/2>Second link</a></li></ul>"
+     "<p>A paragraph that tells what the links are about. It is short.</p></main>",
+     "First link\n\nSecond link\n\nA paragraph that tells what the links are about. It is short."),
+    ("Text without any tags. It is all there is.", "Text without any tags. It is all there is."),
+    ("Just one line &amp; no tag", "Just one line & no tag"),
+    ("<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav><article><p>Short note.</p></article>"
+     "<footer><p>&copy; the site.</p></footer>", "Short note."),
+    ("<body><article><h2>Heading only here</h2><p>A line under it.</p></article></body>", "Heading only here\n\nA line under it."),
+]
+
+
+@pytest.mark.parametrize("html, want", HOSTILE)
+def test_main_text_of_short_and_hostile_pages(html, want):
+    page = html_extract.parse(html, None)
+    assert html_extract.main_text(page, html_extract.content([page], html_extract.default_model())[0] >= 0.5) == want
+
+
+def test_broken_markup_never_raises():
+    rng = random.Random(9)
+    bits = ["<", ">", "</", "<p", "<p>", '<a href="', "'", '"', "=", "<article>", "</article>", "<script>", "<!--", "-->", "<![CDATA[", "]]>",
+            "<div data-main=", "data-main", "text. ", "&#xFFFFFFFF;", "&amp", "<br/>", "<table><tr><td>", "</td>", "\x00", "é", "<li>", "</ul>"]
+    pages = [html_extract.parse("".join(rng.choice(bits) for _ in range(rng.randint(0, 60))), None) for _ in range(300)]
+    for page, m in zip(pages, html_extract.content(pages, html_extract.default_model())):
+        html_extract.main_text(page, m >= 0.5)
+    assert all(x is None for p in pages for x in p.marks)
+
+
 # 2: top-k
 
 def brute_top(rows, asked, k=10):
@@ -253,6 +287,15 @@ def test_near_duplicates_awkward(spark):
     assert near_dup.near_duplicates(docs(spark, AWKWARD).limit(0)).count() == 0
 
 
+def test_one_of_each_with_clashing_ids(spark):
+    a, b, c = prose(120), prose(120), prose(120)
+    rows = [(1, a), (1, b), (2, edited(a, 0.01)), (3, c), (3, edited(b, 0.01)), (0, c), (1, a), (None, a), (None, b), (None, a)]
+    kept = sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in near_dup.one_of_each(docs(spark, rows)).collect())
+    assert kept == sorted([(1, a), (1, b), (0, c), (-1, a), (-1, b)])
+    got = {(r.doc_id, r.class_id) for r in near_dup.near_duplicates(docs(spark, rows)).collect() if r.doc_id is not None}
+    assert got == {(1, 1), (2, 1), (3, 0), (3, 1), (0, 0)}
+
+
 def test_components(spark):
     edges = [(i + 1, i) for i in range(0, 40)] + [(100 + i, 100) for i in range(1, 60)] + [(300, 301), (301, 300)]
     got = {r.id: r.class_id for r in near_dup.components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -350,3 +393,15 @@ def test_open_buckets_in_tiles(spark, monkeypatch):
     classes = spark.createDataFrame([(1, 0)], "id long, class_id long")
     got = near_dup.links_across(reps, classes, spark.createDataFrame(rows, "id long, text string")).collect()
     assert sorted((r.leader, r.member) for r in got) == [(10 * i, 10 * i + 1) for i in range(1, 6)]
+
+
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    """An id that repeats brings no more rows to the fit than the bound."""
+    rows = [(7, "bad words again", None, "en")] * 3000 + [(7, "mots encore", None, "fr")] * 2000 + [(i, "good words", None, "en") for i in range(8, 40)]
+    d = docs(spark, rows)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda doc, term, label: seen.append(len(label)))
+    toxicity.train(d, spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(8, 40)], "doc_id long, toxic int"), per_label=50)
+    monkeypatch.setattr(langid, "fit", lambda texts, label, languages: seen.extend([len(texts), max(c.max() for _, c in texts)]))
+    langid.train(d, per_language=1500)
+    assert seen[0] == 50 + 32 and seen[1] == 2 * 1500
