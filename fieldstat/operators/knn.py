@@ -321,6 +321,16 @@ def knn_grid(train: DataFrame, grid: DataFrame, folds: int = 10, fold_col: str =
                 .orderBy(F.desc("f1"), "k", "distance", "kernel"))
 
 
+def scenario_tables(grid: DataFrame, scenarios: DataFrame, digits: int = 4) -> DataFrame:
+    """L5 for a searched grid: the rows of every scenario (scenario, k, distance, kernel; bounded lists of
+    settings) with the scenario's best one flagged (ties: smallest k, distance, kernel) and the spread of its F1."""
+    w = Window.partitionBy("scenario")
+    place = F.row_number().over(w.orderBy(F.desc("f1"), "k", "distance", "kernel"))
+    rows = grid.join(F.broadcast(scenarios), ["k", "distance", "kernel"])
+    return rows.select("scenario", "k", "distance", "kernel", "f1", "f1_sd", (place == 1).alias("best"),
+                       F.round(F.max("f1").over(w) - F.min("f1").over(w), digits).alias("spread"))
+
+
 def permuted_values(test: DataFrame, features: int, reps: int, seed: int = 42, *,
                     id_col: str = "id", vec: str = "vec") -> DataFrame:
     """L15 helper: (id, changed): for every (feature j, repetition), in this order, the value

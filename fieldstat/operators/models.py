@@ -19,6 +19,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldstat.operators import tree_search
+from fieldstat.session import shared_dir
+
 
 def prepare_stages(cols: Sequence[str], label: str | None = "label", with_mean: bool = True):
     """K1/K2/H5: label indexer (by frequency), assembler, standard scaler. Refitted per
@@ -60,32 +63,36 @@ def parameter_sets(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
+_SCORES: dict[str, str] = {}
+
+
 def cross_validate(train: DataFrame, cols: Sequence[str], make: Callable[..., object], sets: Sequence[dict], *,
-                   label: str = "label", fold_col: str = "fold", parallelism: int = 4) -> list[list[float]]:
+                   label: str = "label", fold_col: str = "fold", parallelism: int | None = None, nested: Sequence[str] = (),
+                   memo: str | None = None) -> list[list[float]]:
     """L3: weighted F1 of every parameter set on every fold (stratified folds, E9, shared by all methods).
 
-    Indexer and scaler are fitted once per fold, on the other folds, and their
-    output is kept while the sets of the fold are fitted from a small pool."""
-    folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
-    score = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="f1")
-    found: list[list[float]] = [[] for _ in sets]
-    for fold in folds:
-        rest, held = train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
-        prep = Pipeline(stages=prepare_stages(cols, label)).fit(rest)
-        a = sized(prep.transform(rest).select("label_idx", "features")).persist()
-        b = sized(prep.transform(held).select("label_idx", "features")).persist()
-        with ThreadPool(parallelism) as pool:
-            for out, f1 in zip(found, pool.map(lambda s: score.evaluate(make(**s).fit(a).transform(b)), sets)):
-                out.append(f1)
-        a.unpersist()
-        b.unpersist()
-    return found
+    Indexer and scaler are fitted once per fold, on the other folds. Sets that differ in ``nested``
+    bounds only share a fit (see ``tree_search``). Under a name ``memo`` for the state of the rows, the
+    scores are written once in a session and read again by whoever searches the same."""
+    spark = train.sparkSession
+    key = f"{spark.sparkContext.applicationId}:{memo}:{sets}"
+    if memo is None or key not in _SCORES:
+        found = tree_search.cross_validate(train, lambda: prepare_stages(cols, label), make, sets, fold_col=fold_col,
+                                           nested=nested, parallelism=parallelism, sized=sized)
+        if memo is None:
+            return found
+        path = shared_dir(spark, "search")
+        rows = [(i, j, f1) for i, scores in enumerate(found) for j, f1 in enumerate(scores)]
+        spark.createDataFrame(rows, "setting int, fold int, f1 double").coalesce(1).write.parquet(path)
+        _SCORES[key] = path
+    rows = spark.read.parquet(_SCORES[key]).orderBy("setting", "fold").collect()
+    return [[r.f1 for r in rows if r.setting == i] for i in range(len(sets))]
 
 
 def search(train: DataFrame, cols: Sequence[str], make: Callable[..., object], scenarios: Mapping[str, Mapping[str, Sequence]],
            digits: int = 4, **kw) -> tuple[DataFrame, dict]:
     """All scenarios on the same folds. Returns the table (scenario, params, f1, f1_sd, best),
-    best first, and the parameters of the best set, for a refit."""
+    best first, and the parameters of the best set, for a refit. ``kw`` as for ``cross_validate``."""
     sets = [(name, s) for name, grid in scenarios.items() for s in parameter_sets(grid)]
     scores = cross_validate(train, cols, make, [s for _, s in sets], **kw)
     rows = [(name, str(sorted(s.items())), float(np.mean(f)), float(np.std(f, ddof=1))) for (name, s), f in zip(sets, scores)]

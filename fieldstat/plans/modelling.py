@@ -13,9 +13,11 @@ from fieldstat.functions.columns import cluster_name, normal_quantile_sql
 from fieldstat.operators import clusters as C, knn as K, metrics as M, models as ML, stats as S
 from fieldstat.operators.basic import merge_rankings, param_grid
 from fieldstat.operators.ranking import stratified_folds, stratified_split
+from fieldstat.operators.tree_search import NESTED
 from fieldstat.plans.adapters import table
 from fieldstat.plans.registry import query
 from fieldstat.session import materialise, shared_dir
+from fieldstat.sources.io import input_state
 
 LEVELS = [f"L{i}" for i in range(10)]
 DIMS = 64
@@ -54,13 +56,17 @@ def split(spark, sf_dir):
     return s.where("is_train").drop("is_train"), s.where("NOT is_train").drop("is_train")
 
 
+def rows_state(spark, sf_dir):
+    return input_state(spark, f"{sf_dir.rstrip('/')}/embeddings.parquet")
+
+
 _RESULTS: dict[tuple[str, str], str] = {}
 
 
 def knn_result(spark, sf_dir):
     """k-NN predictions of the test rows. The metric queries of a session share one written
-    result per input folder (a reader of other input starts another session)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    result for each state of the input files (paths, sizes, times)."""
+    key = (spark.sparkContext.applicationId, rows_state(spark, sf_dir))
     if key not in _RESULTS:
         tr, te = split(spark, sf_dir)
         path = shared_dir(spark, "knn-result")
@@ -184,9 +190,13 @@ def q_error_pairs(spark, sf_dir):
     return S.error_pairs(knn_result(spark, sf_dir), "label", "prediction", LEVELS)
 
 
-GRID = sorted({(k, 2, "rectangular") for k in (1, 3, 5, 7, 9, 11, 15, 21, 31, 51)}
-              | {(k, 2, kernel) for k in (5, 9, 15, 21, 31) for kernel in K.KERNELS}
-              | {(k, p, "rectangular") for k in (5, 9, 15, 21, 31) for p in (1, 2, 3)})
+# FIXED VALUES: the searched settings (k, distance, kernel) of the three scenarios.
+KNN_SCENARIOS = {
+    "S1": [(k, 2, "rectangular") for k in (1, 3, 5, 7, 9, 11, 15, 21, 31, 51)],
+    "S2": [(k, 2, kernel) for k in (5, 9, 15, 21, 31) for kernel in K.KERNELS],
+    "S3": [(k, p, "rectangular") for k in (5, 9, 15, 21, 31) for p in (1, 2, 3)],
+}
+GRID = sorted({setting for settings in KNN_SCENARIOS.values() for setting in settings})
 _U = "LEAST(GREATEST(COALESCE(dist / NULLIF(nxt, 0), 0), 1e-6), 1 - 1e-6)"
 
 
@@ -199,7 +209,7 @@ SELECT {keys}, SUM(n_true * COALESCE(2.0 * n_hit / NULLIF(n_true + n_pred, 0), 0
     UNION ALL SELECT {keys}, prediction, 0, 1, 0 FROM {pred}) GROUP BY {keys}, c) GROUP BY {keys}"""
 
 
-@query("knn_grid", "WITH " + SPLIT_CTE.strip() + f""",
+KNN_GRID_CTE = "WITH " + SPLIT_CTE.strip() + f""",
 t AS (SELECT vec_id, label, (ROW_NUMBER() OVER (PARTITION BY label ORDER BY md5(CAST(vec_id AS VARCHAR))) - 1) % 10 AS fold
       FROM base WHERE is_train),
 lf AS (SELECT l.vec_id, t.label, t.fold, l.dim, l.x FROM long l JOIN t ON t.vec_id = l.vec_id),
@@ -224,16 +234,41 @@ pd AS (SELECT k, p, kernel, g, qid, MIN({{'a': -score, 'b': list_position({LEVEL
 res AS (SELECT k, p, kernel, g, t.label, {LEVELS}[pos] AS prediction FROM pd JOIN t ON t.vec_id = pd.qid),
 f AS ({_f1_sql('k, p, kernel, g', 'res')}),
 o AS (SELECT k, p, kernel, ROUND(AVG(f1), 4) AS f1, ROUND(STDDEV_SAMP(f1), 4) AS f1_sd, ROUND(STDDEV_SAMP(f1) / sqrt(COUNT(f1)), 4) AS f1_se
-      FROM f GROUP BY ALL)
+      FROM f GROUP BY ALL)"""
+
+
+def knn_search(spark, sf_dir):
+    """The k-NN grid (k, distance, kernel, f1, f1_sd, f1_se) over shared folds, found once in a session for a state of the input."""
+    key = (spark.sparkContext.applicationId, f"grid {rows_state(spark, sf_dir)}")
+    if key not in _RESULTS:
+        tr, _ = split(spark, sf_dir)
+        tr = stratified_folds(tr, "label", 10, key=F.md5(F.col("id").cast("string")))
+        path = shared_dir(spark, "knn-grid")
+        K.knn_grid(tr, spark.createDataFrame(GRID, "k int, distance int, kernel string"), 10, levels=LEVELS).write.parquet(path)
+        _RESULTS[key] = path
+    return spark.read.parquet(_RESULTS[key])
+
+
+@query("knn_grid", KNN_GRID_CTE + """
 SELECT CAST(k AS INTEGER) AS k, CAST(p AS DOUBLE) AS distance, kernel, f1, f1_sd, f1_se, f1 - f1_se AS lower, f1 + f1_se AS upper FROM o""")
 def q_knn_grid(spark, sf_dir):
     """L14 (+C9, E9, J8): stratified 10-fold CV of a k x distance x kernel grid."""
-    tr, _ = split(spark, sf_dir)
-    tr = stratified_folds(tr, "label", 10, key=F.md5(F.col("id").cast("string")))
-    grid = spark.createDataFrame(GRID, "k int, distance int, kernel string")
-    res = K.knn_grid(tr, grid, 10, levels=LEVELS)
     from fieldstat.operators.distribution import error_bars
-    return error_bars(res, "f1", "f1_se")
+    return error_bars(knn_search(spark, sf_dir), "f1", "f1_se")
+
+
+@query("knn_scenarios", KNN_GRID_CTE + """,
+sc AS (SELECT * FROM (VALUES """ + ", ".join(f"('{name}', {k}, {p}, '{kernel}')" for name, sets in KNN_SCENARIOS.items()
+                                             for k, p, kernel in sets) + """) v(scenario, k, p, kernel)),
+rk AS (SELECT scenario, o.*, ROW_NUMBER() OVER (PARTITION BY scenario ORDER BY f1 DESC, o.k, o.p, o.kernel) AS place,
+              MAX(f1) OVER (PARTITION BY scenario) - MIN(f1) OVER (PARTITION BY scenario) AS spread
+       FROM sc JOIN o ON o.k = sc.k AND o.p = sc.p AND o.kernel = sc.kernel)
+SELECT scenario, CAST(k AS INTEGER) AS k, CAST(p AS DOUBLE) AS distance, kernel, f1, f1_sd, place = 1 AS best, ROUND(spread, 4) AS spread FROM rk""")
+def q_knn_scenarios(spark, sf_dir):
+    """The three scenario tables (45 settings), each with its best setting and the spread of its F1."""
+    rows = [(name, k, float(p), kernel) for name, sets in KNN_SCENARIOS.items() for k, p, kernel in sets]
+    listed = spark.createDataFrame(rows, "scenario string, k int, distance double, kernel string")
+    return K.scenario_tables(knn_search(spark, sf_dir), listed)
 
 
 @query("permutation_importance", "WITH " + SPLIT_CTE.strip() + f""",
@@ -522,32 +557,40 @@ def q_forest_summary(spark, sf_dir):
     return ML.model_summary(spark, ML.fit(tr, FEATS, ML.forest(**CHOSEN_FOREST)))
 
 
+def tree_search(spark, sf_dir):
+    """The search over all tree scenarios (table, best set); its scores are found once in a session."""
+    return ML.search(folded(spark, sf_dir), FEATS, ML.tree, ML.TREE_SCENARIOS, nested=NESTED, memo=f"tree {rows_state(spark, sf_dir)}")
+
+
+def forest_search(spark, sf_dir):
+    """The search over all forest scenarios, as ``tree_search``."""
+    return ML.search(folded(spark, sf_dir), FEATS, ML.forest, ML.FOREST_SCENARIOS, memo=f"forest {rows_state(spark, sf_dir)}")
+
+
 @query("tree_cv")
 def q_tree_cv(spark, sf_dir):
     """10-fold CV of all tree scenarios on shared stratified folds, ranked."""
-    return ML.search(folded(spark, sf_dir), FEATS, ML.tree, ML.TREE_SCENARIOS)[0]
+    return tree_search(spark, sf_dir)[0]
 
 
 @query("tree_refit")
 def q_tree_refit(spark, sf_dir):
     """The best tree of the best scenario, refitted on the whole training set; test predictions."""
     tr, te = wide(spark, sf_dir)
-    _, best = ML.search(folded(spark, sf_dir), FEATS, ML.tree, ML.TREE_SCENARIOS)
-    return ML.predict(ML.fit(tr, FEATS, ML.tree(**best)), te)
+    return ML.predict(ML.fit(tr, FEATS, ML.tree(**tree_search(spark, sf_dir)[1])), te)
 
 
 @query("forest_cv")
 def q_forest_cv(spark, sf_dir):
     """10-fold CV of all forest scenarios on the same folds, ranked."""
-    return ML.search(folded(spark, sf_dir), FEATS, ML.forest, ML.FOREST_SCENARIOS)[0]
+    return forest_search(spark, sf_dir)[0]
 
 
 @query("forest_refit")
 def q_forest_refit(spark, sf_dir):
     """The best forest of the best scenario, refitted on the whole training set; test predictions."""
     tr, te = wide(spark, sf_dir)
-    _, best = ML.search(folded(spark, sf_dir), FEATS, ML.forest, ML.FOREST_SCENARIOS)
-    return ML.predict(ML.fit(tr, FEATS, ML.forest(**best)), te)
+    return ML.predict(ML.fit(tr, FEATS, ML.forest(**forest_search(spark, sf_dir)[1])), te)
 
 
 @query("pca")
@@ -675,30 +718,33 @@ def q_bisecting(spark, sf_dir):
                                        "largest long, agreement double")
 
 
+def knn_best(spark, sf_dir):
+    """The best setting of all k-NN scenarios: largest F1, then smallest k, distance, kernel."""
+    return knn_search(spark, sf_dir).orderBy(F.desc("f1"), "k", "distance", "kernel").head()
+
+
 @query("compare_methods")
 def q_compare_methods(spark, sf_dir):
-    """Tree, forest and k-NN by their CV F1 on the same folds, with the test metrics beside it."""
+    """The best tree, forest and k-NN that their searches found, by CV F1 on the same folds, with the test metrics beside it."""
     tr, te = wide(spark, sf_dir)
-    folds = folded(spark, sf_dir).persist()
-    cv = {name: round(sum(f) / len(f), 4) for name, make, chosen in
-          (("tree", ML.tree, CHOSEN_TREE), ("forest", ML.forest, CHOSEN_FOREST))
-          for f in ML.cross_validate(folds, FEATS, make, [chosen])}
-    vecs = folds.select("id", "label", "fold", K.to_vector(FEATS).alias("vec"))
-    cv["knn"] = K.knn_grid(vecs, param_grid(spark, k=[K_BEST], distance=[P_BEST], kernel=["rectangular"]), 10, levels=LEVELS).head()["f1"]
-    folds.unpersist()
-    preds = {"tree": ML.predict(ML.fit(tr, FEATS, ML.tree(**CHOSEN_TREE)), te),
-             "forest": ML.predict(ML.fit(tr, FEATS, ML.forest(**CHOSEN_FOREST)), te),
-             "knn": knn_result(spark, sf_dir).select(F.col("qid").alias("id"), "label", "prediction", *[
-                 F.coalesce(F.col("proba")[c], F.lit(0.0)).alias(f"p_{c}") for c in LEVELS])}
+    vtr, vte = split(spark, sf_dir)
+    k = knn_best(spark, sf_dir)
+    found = {"knn": (k["f1"], f"k={k['k']}, distance={k['distance']:g}, kernel={k['kernel']}",
+                     K.knn_predict(vtr, vte, k["k"], k["distance"], k["kernel"], levels=LEVELS).select(
+                         F.col("qid").alias("id"), "label", "prediction",
+                         *[F.coalesce(F.col("proba")[c], F.lit(0.0)).alias(f"p_{c}") for c in LEVELS]))}
+    for name, make, (table, best) in (("tree", ML.tree, tree_search(spark, sf_dir)), ("forest", ML.forest, forest_search(spark, sf_dir))):
+        top = table.where("best").head()
+        found[name] = (top["f1"], top["params"], ML.predict(ML.fit(tr, FEATS, make(**best)), te))
     rows = []
-    for name, p in preds.items():
+    for name, (f1, chosen, p) in found.items():
         present = [c for c in LEVELS if f"p_{c}" in p.columns]
         p = materialise(p)
         o, m = M.overall(p, LEVELS).head(), M.macro(M.by_class(p, LEVELS, digits=None)).head()
         auc = M.multiclass_auc(p, "label", {c: f"p_{c}" for c in present}).head()["auc"]
-        rows.append((name, float(cv[name]), o["accuracy"], o["kappa"], m["macro_f1"], m["macro_balanced_accuracy"],
+        rows.append((name, chosen, float(f1), o["accuracy"], o["kappa"], m["macro_f1"], m["macro_balanced_accuracy"],
                      M.weighted_f1(p, LEVELS).head()[0], auc))
-    table = spark.createDataFrame(rows, "method string, cv_f1 double, accuracy double, kappa double, macro_f1 double, "
+    table = spark.createDataFrame(rows, "method string, params string, cv_f1 double, accuracy double, kappa double, macro_f1 double, "
                                         "balanced_accuracy double, weighted_f1 double, auc double")
     return ML.compare_methods(table)
 
