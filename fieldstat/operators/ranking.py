@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import normal_quantile_sql
+from fieldstat.operators import selection
 from fieldstat.operators.basic import null_safe_join
 from fieldstat.session import materialise
 
@@ -78,10 +79,18 @@ def stratified_split(df: DataFrame, cls: str, share: float = 0.8, key: Column |
                      seed: int = 42, out: str = "is_train") -> DataFrame:
     """Percent rank of a random key within the class; ``rank <= share`` is train.
 
-    Train size per class = floor(share * (n - 1)) + 1 (e.g. 125 -> 100). ``key``
-    defaults to ``rand(seed)``; the value is fixed by the checkpoint of the
-    ranking, so recomputation after a lost executor cannot move a row.
+    Train size per class = floor(share * (n - 1)) + 1 (e.g. 125 -> 100), and rows that tie with the
+    last of them. With a ``key`` of few classes only the largest key of each class's train rows is found
+    (``selection``): rows are neither sorted nor shuffled. The default key is ``rand(seed)``; its value
+    is fixed by the checkpoint of the ranking, so recomputation after a lost executor cannot move a row.
     """
+    if key is not None:
+        keyed = selection.with_sort_key(df, key, "_key")
+        if keyed is not None and selection.few_groups(df, [cls]):
+            found = selection.thresholds(keyed, cls, "_key", share)
+            last = df.sparkSession.createDataFrame(found.collect(), found.schema).select(F.col(cls).alias("_cls"), F.col("value").alias("_last"))
+            j = keyed.join(F.broadcast(last), keyed[cls].eqNullSafe(last["_cls"]))
+            return j.withColumn(out, F.col("_key") <= F.col("_last")).drop("_key", "_cls", "_last")
     k = key if key is not None else F.rand(seed)
     r = running_total(df.withColumn("_key", k), ["_key"], [cls], out="_rn", total="_n")
     pr = F.when(F.col("_n") > 1, (F.col("_rn") - 1) / (F.col("_n") - 1)).otherwise(F.lit(0.0))
@@ -148,14 +157,17 @@ def qq_pairs(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    groups: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
-    """Exact quantiles (R type 7 / Spark ``percentile``) per group, by distributed ranking:
-    h = (n - 1) p + 1, interpolate between order statistics floor(h) and ceil(h).
+                    groups: Sequence[str] = (), names: Sequence[str] | None = None, few: bool | None = None) -> DataFrame:
+    """Exact quantiles (R type 7 / Spark ``percentile``) per group: h = (n - 1) p + 1, interpolate
+    between order statistics floor(h) and ceil(h).
 
-    Only distinct values are ranked, each with its count, so hot values cost
+    Few groups (``few``: known to the caller, else counted) take radix selection, which shuffles counts
+    only. Many take distributed ranking: only distinct values are ranked, each with its count, so hot values cost
     one row; only the needed order statistics leave the ranking step. NULL is
     a group of its own; a group without values has no row."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    if few or (few is None and selection.few_groups(df, groups)):
+        return selection.quantiles(df, value, probs, groups, names)
     src = _counted(df.withColumn(value, F.col(value).cast("double")), value, groups)
     r = running_total(src, ["_x"], groups, value=F.col("_c"), out="_end", total="_n")
     first, last = F.col("_end") - F.col("_c") + 1, F.col("_end")

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldstat.functions.columns import ordinal
+from fieldstat.operators import comoments
 from fieldstat.operators.basic import null_safe_join
 from fieldstat.operators.ranking import exact_quantiles
 from fieldstat.operators.reshape import melt
 
-PAIRS_AT_ONCE = 60
-
 
 def describe(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
     """Mean, median, sd, min, max, skewness (type 3 = population skewness ·
@@ -24,7 +24,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.skewness("value").alias("_g1"), F.count("value").alias("_n"))
-    med = exact_quantiles(long, "value", [0.5], ["feature"], ["median"])
+    med = exact_quantiles(long, "value", [0.5], ["feature"], ["median"], few=True)
     out = base.join(med, "feature", "left")
     skew = F.col("_g1") * F.pow((F.col("_n") - 1) / F.col("_n"), F.lit(1.5))
     return (out.select("feature", *[F.round(c, digits).alias(c) for c in ("mean", "median", "sd", "min", "max")],
@@ -37,7 +37,7 @@ def summary6(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = melt(df, [], cols)
     base = long.groupBy("feature").agg(F.min("value").alias("min"), F.avg("value").alias("mean"),
                                        F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"], ["q1", "median", "q3"])
+    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"], ["q1", "median", "q3"], few=True)
     return base.join(q, "feature", "left").select("feature", "min", "q1", "median", "mean", "q3", "max")
 
 
@@ -86,24 +86,13 @@ def spread(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
-    """D24 (+H3): Pearson correlations of all pairs, as (row, col, value).
-
-    One aggregate holds the pairs of a few columns at most (``PAIRS_AT_ONCE``),
-    so that its code stays small enough to be compiled."""
+    """D24 (+H3): Pearson correlations of all pairs, as (row, col, value), each over the rows that have
+    both columns; NULL where one of them does not vary there, 1 on the diagonal. One scan for any number
+    of columns (``comoments``)."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    parts = []
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        some = pairs[at:at + PAIRS_AT_ONCE]
-        one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(some)])
-        listed = F.array(*[F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"c{i}").alias("value"))
-                           for i, (a, b) in enumerate(some)])
-        parts.append(one.select(F.inline(listed)))
-    spark = df.sparkSession
-    diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "row string, col string, value double")
-    out = diag
-    for upper in parts:
-        out = out.unionByName(upper).unionByName(upper.select(F.col("col").alias("row"), F.col("row").alias("col"), "value"))
+    c = comoments.correlations(comoments.co_moments(df, cols))
+    rows = [(a, b, 1.0 if i == j else None if np.isnan(c[i, j]) else float(c[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, "row string, col string, value double")
     return out.withColumn("value", F.round("value", digits)) if digits is not None else out
 
 
