@@ -30,15 +30,15 @@ def clock_seconds(minute, second) -> Column:
 def ratio(num, den, digits: int) -> Column:
     """num / den in decimals, rounded half up once; NULL (not an error) when den is 0.
 
-    Decimal division keeps 19 places here, so no double lies a hair below the
+    Decimal division keeps 12 places here, so no double lies a hair below the
     rounding edge of its true value."""
-    r = F.try_divide(_c(num).cast("decimal(22,6)"), _c(den).cast("decimal(12,0)"))
+    r = F.try_divide(_c(num).cast("decimal(38,12)"), _c(den).cast("decimal(12,0)"))
     return F.round(r, digits)
 
 
 def per_exposure(count, exposure, unit: float = 90, digits: int = 3) -> Column:
     """Rate per ``unit`` of a whole-numbered exposure, rounded."""
-    return ratio(_c(count).cast("decimal(16,6)") * F.lit(int(unit)), exposure, digits).cast("double")
+    return ratio(_c(count).cast("decimal(27,12)") * F.lit(int(unit)), exposure, digits).cast("double")
 
 
 def safe_ratio(num, den, digits: int = 3) -> Column:

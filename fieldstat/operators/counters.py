@@ -31,12 +31,15 @@ def counter_expr(type_col: str, event_type: str | None, cond: str | None,
     return F.coalesce(exact_sum(F.expr(value) if pred is None else F.when(pred, F.expr(value))).cast("double"), F.lit(0.0))
 
 
-_TERM, _SUM = "decimal(18,6)", "decimal(22,6)"
+_EXACT = "decimal(38,18)"
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of doubles as decimals of six places: the same in any order and partitioning."""
-    return F.sum(value.cast(_TERM)).cast(_SUM)
+    """Sum of doubles as decimals of 18 places: the same in any order and partitioning.
+
+    A double is taken by its shortest decimal form, so 0.1 is a tenth; digits beyond the 18th place are
+    rounded away, and a sum of 1e20 or more is an error."""
+    return F.sum(value.cast(_EXACT))
 
 
 def exact_mean(col: str) -> Column:
