@@ -32,11 +32,13 @@ def sse(df: DataFrame, cluster: str = "cluster", vec: str = "vec", digits: int |
 
 def w_pairs(df: DataFrame, cluster: str = "cluster", vec: str = "vec", digits: int | None = 4) -> DataFrame:
     """W from all within-cluster pairs, sum over c of (2 / n_c) times the sum over its pairs of
-    |x_i - x_j|^2, which is 2 sum over dimensions of (n - 1) var_samp (no pair is formed, and
-    no difference of large sums taken)."""
-    d = _dim_sums(df, cluster, vec)
-    per = d.groupBy("c").agg(F.max("n").alias("n"), F.sum((F.col("n") - 1) * F.coalesce("v", F.lit(0.0))).alias("ss"))
-    out = per.agg(F.sum(2 * F.col("n") * F.col("ss") / F.col("n")).alias("W_pairs"))
+    |x_i - x_j|^2. That sum is n sum |y|^2 - |sum y|^2 of the cluster for any common shift y of the rows (here
+    by the mean of all rows, so that large means do not cancel); no pair is formed, and unlike N4 no mean or
+    variance of a cluster is, so the two check each other."""
+    ex = centred(df, vec).select(F.col(cluster).alias("c"), F.posexplode(vec).alias("pos", "y"))
+    d = ex.groupBy("c", "pos").agg(F.count("y").alias("n"), F.sum("y").alias("s1"), F.sum(F.col("y") * F.col("y")).alias("s2"))
+    per = d.groupBy("c").agg(F.max("n").alias("n"), F.sum(F.col("n") * F.col("s2") - F.col("s1") * F.col("s1")).alias("pairs"))
+    out = per.agg(F.sum(2 * F.col("pairs") / F.col("n")).alias("W_pairs"))
     return out.select(F.round("W_pairs", digits).alias("W_pairs")) if digits is not None else out
 
 

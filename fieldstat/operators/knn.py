@@ -8,20 +8,26 @@ k+1 nearest references of that tile; ``row_number() <= k+1`` per query then
 merges the tiles. Pairs never become rows, no cross join runs, and the result
 is exact (ties broken by distance, then reference id).
 
-The work is inherently quadratic (exact k-NN); it parallelises over
-tiles = (#query blocks) x (#reference blocks) x (#groups).
+That work is quadratic; it parallelises over tiles = (#query blocks) x
+(#reference blocks) x (#groups). ``pivot_neighbours`` is for data with clusters: the
+references are partitioned by their nearest pivot, and the triangle inequality
+rules out the cells that cannot hold a neighbour, so most tiles are never formed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldstat.session import materialise
+
 KERNELS = ("rectangular", "triangular", "gaussian", "inv")
 
 _NEIGHBOUR_SCHEMA = "g long, qid long, rid long, rlabel string, dist double"
@@ -90,17 +96,29 @@ def fold_scaled(train: DataFrame, fold: str, vec: str = "vec") -> tuple[DataFram
     return q, r
 
 
+CACHED = 1 << 16         # entries of the distance matrix that are summed up at once
+
+
 def _powers(Q: np.ndarray, R: np.ndarray, p: float) -> np.ndarray:
-    """Sum of |q - r|^p of every pair, a dimension at a time: one matrix, no (pairs x d) temporary."""
+    """Sum of |q - r|^p of every pair, a dimension at a time, for as many queries as keep the sums in cache."""
     out = np.zeros((len(Q), len(R)))
-    for j in range(Q.shape[1]):
-        out += _power(Q[:, j, None] - R[None, :, j], p)
+    columns = np.ascontiguousarray(R.T)
+    step = max(1, CACHED // max(1, len(R)))
+    diff = np.empty((min(step, len(Q)), len(R)))
+    for at in range(0, len(Q), step):
+        part, sums = Q[at:at + step], out[at:at + step]
+        d = diff[:len(part)]
+        for j in range(Q.shape[1]):
+            np.subtract(part[:, j, None], columns[j], out=d)
+            sums += _power(d, p, d)
     return out
 
 
-def _power(diff: np.ndarray, p: float) -> np.ndarray:
-    diff = np.abs(diff)
-    return diff if p == 1 else diff * diff if p == 2 else np.power(diff, p)
+def _power(diff: np.ndarray, p: float, out: np.ndarray | None = None) -> np.ndarray:
+    if p == 2:
+        return np.multiply(diff, diff, out=out)
+    diff = np.abs(diff, out=out)
+    return diff if p == 1 else np.power(diff, p, out=out)
 
 
 def _root(x: np.ndarray, p: float) -> np.ndarray:
@@ -203,6 +221,120 @@ def neighbours(queries: DataFrame, refs: DataFrame, k: int, p: float = 2, *, id_
     return tiles.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
+MOST_PIVOTS = 1024
+
+
+@dataclass
+class Cells:
+    """Pivots (m x d) and, of the references nearest to each, how many there are and the largest distance to it."""
+
+    pivot: np.ndarray
+    count: np.ndarray
+    radius: np.ndarray
+
+    def distances(self, x: np.ndarray, p: float) -> np.ndarray:
+        return _root(_powers(x, self.pivot, p), p)
+
+    def reach(self, d: np.ndarray, k: int) -> np.ndarray:
+        """For each row of distances to the pivots a bound on the distance to the k-th nearest reference: the
+        nearest cells, by the distance to their farthest member, that hold k references together."""
+        far = np.where(self.count > 0, d + self.radius, np.inf)
+        order = np.argsort(far, axis=1, kind="stable")
+        enough = np.argmax(np.cumsum(self.count[order], axis=1) >= k, axis=1)
+        bound = np.take_along_axis(far, np.take_along_axis(order, enough[:, None], 1), 1)[:, 0]
+        return np.where(self.count.sum() >= k, bound, np.inf)
+
+    def visits(self, d: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Which cells can hold a reference within the bound of each row (triangle inequality)."""
+        slack = 1e-9 * (1 + np.abs(d) + self.radius)
+        return (self.count > 0) & (d - self.radius <= bound[:, None] + slack)
+
+
+def cells_of(refs: DataFrame, p: float, *, id_col: str = "id", vec: str = "vec", block: int = 1024,
+             pivots: int | None = None) -> tuple[Cells, DataFrame]:
+    """Pivots, at most ``MOST_PIVOTS`` references by a hash of their id, and ``refs`` with the number of their cell in ``cell``."""
+    m = pivots or min(MOST_PIVOTS, max(1, math.ceil(refs.count() / block)))
+    some = refs.orderBy(F.xxhash64(id_col), id_col).select(vec).limit(m).collect()
+    pivot = np.array([r[0] for r in some], np.float64)
+    blank = Cells(pivot, np.zeros(len(pivot)), np.zeros(len(pivot)))
+
+    def nearest(batches):
+        for batch in batches:
+            x = np.stack(batch.column(vec).to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, pivot.shape[1]))
+            d = blank.distances(x, p)
+            at = d.argmin(axis=1) if len(x) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(x)), at])],
+                                             [*batch.schema.names, "cell", "_away"])
+
+    schema = refs.select("*", F.lit(0).alias("cell"), F.lit(0.0).alias("_away")).schema
+    placed = materialise(refs.mapInArrow(nearest, schema))
+    for r in placed.groupBy("cell").agg(F.count("*"), F.max("_away")).collect():
+        blank.count[r[0]], blank.radius[r[0]] = r[1], r[2]
+    return blank, placed.drop("_away")
+
+
+def visited(queries: DataFrame, cells: Cells, k: int, p: float, *, id_col: str = "id", vec: str = "vec",
+            bound: str | None = None) -> DataFrame:
+    """``queries`` with an array ``cells`` of the cells that can hold one of the k nearest references, the nearest
+    pivot's cell in ``home`` and their bound; ``bound`` names a column with a smaller bound, if known."""
+    def found(batches):
+        for batch in batches:
+            x = np.stack(batch.column(vec).to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, cells.pivot.shape[1]))
+            d = cells.distances(x, p)
+            reach = cells.reach(d, k) if len(x) else np.zeros(0)
+            if bound:
+                reach = np.minimum(reach, np.nan_to_num(batch.column(bound).to_numpy(zero_copy_only=False).astype(float), nan=np.inf))
+            hit = cells.visits(d, reach)
+            home = np.where(cells.count > 0, d, np.inf).argmin(axis=1) if len(x) else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(hit.sum(axis=1))]).astype(np.int32)),
+                                             pa.array(np.nonzero(hit)[1].astype(np.int32)))
+            keep = [c for c in batch.schema.names if c != bound]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [lists, pa.array(home.astype(np.int32)), pa.array(reach)],
+                                             [*keep, "cells", "home", "reach"])
+
+    keep = queries.drop(bound) if bound else queries
+    schema = keep.select("*", F.array(F.lit(0)).alias("cells"), F.lit(0).alias("home"), F.lit(0.0).alias("reach")).schema
+    return queries.mapInArrow(found, schema)
+
+
+def _cell_tiles(queries: DataFrame, refs: DataFrame, fn, schema: str, id_col: str, vec: str, label: str | None, block: int) -> DataFrame:
+    """Run ``fn`` on tiles of the queries and the references of each cell; cells of many rows have many tiles."""
+    sizes = (queries.groupBy("cell").agg(F.count("*").alias("nq")).join(refs.groupBy("cell").agg(F.count("*").alias("nr")), "cell")
+             .select("cell", F.ceil(F.col("nq") / block).alias("lb"), F.ceil(F.col("nr") / block).alias("rb")))
+    # One row a cell, MOST_PIVOTS at most.
+    few = F.broadcast(sizes)
+    lab = lambda d: F.col(label).cast("string") if label and label in d.columns else F.lit(None).cast("string")
+    sides = []
+    for d, side, own, other in ((queries, 0, "qb", "rb"), (refs, 1, "rb", "qb")):
+        many = {"qb": F.col("lb"), "rb": F.col("rb")}
+        rows = d.join(few, "cell").select(
+            F.lit(0).cast("long").alias("g"), "cell", F.col(id_col).cast("long").alias("_id"), F.col(vec).alias("_vec"), lab(d).alias("_label"),
+            F.lit(side).alias("_side"), F.pmod(F.xxhash64(id_col), many[own]).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("long"), many[other] - 1)).alias(other))
+        sides.append(rows.select("g", "cell", "_id", "_vec", "_label", "_side", "qb", "rb"))
+    return sides[0].unionByName(sides[1]).groupBy("cell", "qb", "rb").applyInPandas(fn, schema)
+
+
+def pivot_neighbours(queries: DataFrame, refs: DataFrame, k: int, p: float = 2, *, id_col: str = "id", vec: str = "vec",
+                     label: str = "label", block: int = 1024, pivots: int | None = None) -> DataFrame:
+    """As ``neighbours`` (exact, same ties), but a query only meets the cells that can hold one of its k nearest.
+
+    References belong to the cell of their nearest pivot. A query is searched in its own cell first; the
+    distance to its k-th there, or the bound from the cells' radii if that is smaller, rules out every cell
+    whose pivot is farther than that bound and the cell's radius together. It is then copied into the others."""
+    cells, placed = cells_of(refs, p, id_col=id_col, vec=vec, block=block, pivots=pivots)
+    asked = materialise(visited(queries.select(id_col, vec), cells, k, p, id_col=id_col, vec=vec))
+    own = asked.select(id_col, vec, F.col("home").alias("cell"))
+    first = materialise(_cell_tiles(own, placed, _tile_fn(k, p), _NEIGHBOUR_SCHEMA, id_col, vec, label, block))
+    w = Window.partitionBy("g", "qid").orderBy("dist", "rid")
+    kth = (first.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == k).select(F.col("qid").alias(id_col), F.col("dist").alias("_kth")))
+    nearer = visited(asked.select(id_col, vec, "home").join(kth, id_col, "left").withColumnRenamed("home", "_home"), cells, k, p,
+                     id_col=id_col, vec=vec, bound="_kth")
+    rest = (nearer.select(id_col, vec, "_home", F.explode("cells").alias("cell")).where(F.col("cell") != F.col("_home")).drop("_home"))
+    more = _cell_tiles(rest, placed, _tile_fn(k, p), _NEIGHBOUR_SCHEMA, id_col, vec, label, block)
+    return first.unionByName(more).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+
+
 def kernel_weight(kernel: str, dist: Column, d_next: Column, k: Column) -> Column:
     """Vote weight of a neighbour from d / d(k+1), clipped to (1e-6, 1 - 1e-6)."""
     u = F.least(F.greatest(F.coalesce(F.try_divide(dist, d_next), F.lit(0.0)), F.lit(1e-6)), F.lit(1 - 1e-6))

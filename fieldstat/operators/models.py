@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstat.operators import tree_search
+from fieldstat.operators import comoments, tree_search
 from fieldstat.session import shared_dir
 
 
@@ -155,6 +155,14 @@ def pca(df: DataFrame, cols: Sequence[str], k: int, digits: int = 4):
     return scores, explained
 
 
+def explained(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
+    """K4/K6 without scores: the share of every principal component of the standardised columns and the
+    cumulative share, from the correlations of one co-moment scan."""
+    shares = comoments.explained_shares(comoments.co_moments(df, cols))
+    rows = [(i + 1, round(float(v), digits), round(float(c), digits)) for i, (v, c) in enumerate(zip(shares, np.cumsum(shares)))]
+    return df.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double")
+
+
 def n_components(explained: DataFrame, bound: float = 0.9) -> DataFrame:
     """K6: the first component count whose cumulative share reaches the bound."""
     return explained.where(F.col("cumulative") >= bound).agg(F.min("component").alias("n_components"))

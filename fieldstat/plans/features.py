@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,11 +131,12 @@ def q_exposure_from_json(spark, sf_dir):
     back as such, the key taken from the path, line-ups exploded, exposure from the nested records."""
     ev = layer(spark, sf_dir)
     raw = nested_events(ev).unionByName(marker_events(ev), allowMissingColumns=True)
-    rows, sessions = raw.agg(F.count(F.lit(1)), F.count_distinct("match_id")).head()
-    files = max(1, math.ceil(rows / max(sessions, 1) / EVENTS_PER_FILE))
     fields = [c for c in raw.columns if c != "match_id"]
     records = raw.select("match_id", F.to_json(F.struct(*fields)).alias("r"))
-    part = F.pmod(F.xxhash64("r"), F.lit(files)).alias("part")
+    # Each session has as many files as its own events need, so none is one large string.
+    files = raw.groupBy("match_id").agg(F.ceil(F.count(F.lit(1)) / EVENTS_PER_FILE).alias("files"))
+    records = records.join(files, "match_id")
+    part = F.pmod(F.xxhash64("r"), F.col("files")).alias("part")
     arrays = (records.groupBy("match_id", part)
                      .agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ",\n"), F.lit("]")).alias("value")))
     path = shared_dir(spark, "raw-arrays")

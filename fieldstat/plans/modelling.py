@@ -597,14 +597,14 @@ def q_forest_refit(spark, sf_dir):
 def q_pca(spark, sf_dir):
     """K4: explained variance of every component."""
     tr, te = wide(spark, sf_dir)
-    return ML.pca(tr.unionByName(te), FEATS, DIMS)[1]
+    return ML.explained(tr.unionByName(te), FEATS)
 
 
 @query("pca_count")
 def q_pca_count(spark, sf_dir):
     """The number of components that explain 90 %."""
     tr, te = wide(spark, sf_dir)
-    return ML.n_components(ML.pca(tr.unionByName(te), FEATS, DIMS)[1], 0.9)
+    return ML.n_components(ML.explained(tr.unionByName(te), FEATS), 0.9)
 
 
 @query("pca_scores")

@@ -117,8 +117,7 @@ def test_argmax_takes_one_row(spark):
     assert tuple(S.argmax(d, "x", ["i", "s"], minimum=True).head()) == (3, "m", 1.0)
 
 
-def test_correlation_of_oddly_named_columns(spark, monkeypatch):
-    monkeypatch.setattr(S, "PAIRS_AT_ONCE", 2)
+def test_correlation_of_oddly_named_columns(spark):
     d = spark.createDataFrame([(float(i), float(i * i), float(-i)) for i in range(9)], "a__b double, b double, a double")
     got = {(r.row, r.col): r.value for r in S.corr_matrix(d, ["a__b", "b", "a"]).collect()}
     assert got[("a__b", "a")] == -1.0 and got[("a", "a")] == 1.0 and len(got) == 9
@@ -172,3 +171,57 @@ def test_checkpoint_folder_must_be_named_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_exact_sums_keep_small_and_large_values(spark):
+    rows = [(i % 3, 4e-7, 1e13 + 0.1, 0.1) for i in range(6000)]
+    for parts in (1, 4, 32):
+        d = spark.createDataFrame(rows, "k int, small double, large double, tenth double").repartition(parts)
+        got = {r[0]: tuple(r[1:]) for r in d.groupBy("k").agg(
+            *[counters.exact_sum(F.col(c)).cast("double") for c in ("small", "large", "tenth")], counters.exact_mean("small"),
+            counters.exact_mean("large")).collect()}
+        assert got == {k: (0.0008, 2e16 + 200, 200.0, 4e-7, 1e13 + 0.1) for k in range(3)}
+
+
+def test_rates_of_large_and_small_counts(spark):
+    from fieldstat.functions.columns import per_exposure, safe_ratio
+    d = spark.createDataFrame([(1e13, 5400), (0.002, 1), (2.0005, 1)], "x double, s long")
+    got = [tuple(r) for r in d.select(per_exposure("x", "s", 5400), safe_ratio("x", "s", 3)).collect()]
+    assert got == [(1e13, 1851851851.852), (10.8, 0.002), (10802.7, 2.001)]
+
+
+def test_w_of_pairs_is_not_the_variance(spark):
+    from fieldstat.operators import clusters as C
+    rng = np.random.default_rng(8)
+    x = 1e7 + rng.normal(size=(60, 3))
+    rows = [(i, str(i % 4), [float(v) for v in r]) for i, r in enumerate(x)]
+    d = spark.createDataFrame(rows, "id long, cluster string, vec array<double>")
+    want = sum(((p[:, None] - p[None]) ** 2).sum() / len(p) for p in (x[i::4] for i in range(4)))
+    assert C.w_pairs(d, digits=None).head()[0] == pytest.approx(want, rel=1e-7)
+    assert C.sse(d, digits=None).head()["W"] == pytest.approx(want, rel=1e-7)
+
+
+def test_pivots_skip_cells_and_lose_nothing(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.uniform(-100, 100, size=(12, 3))
+    refs = np.concatenate([centres[rng.integers(0, 12, 700)] + rng.normal(size=(700, 3)), np.tile(centres[0], (300, 1))])
+    asked = np.concatenate([centres[rng.integers(0, 12, 80)] + rng.normal(size=(80, 3)), rng.uniform(-100, 100, size=(10, 3))])
+    frame = lambda m, at: spark.createDataFrame([(at + i, "ab"[i % 2], [float(v) for v in r]) for i, r in enumerate(m)],
+                                                "id long, label string, vec array<double>")
+    r, q = frame(refs, 0), frame(asked, 5000)
+    for p in (1, 2, 3):
+        d = (np.abs(asked[:, None] - refs[None]) ** p).sum(-1) ** (1 / p)
+        for k, block in ((1, 1024), (7, 50), (400, 200)):
+            found = K.pivot_neighbours(q, r, k, p, block=block, pivots=16).collect()
+            got = {(x.qid - 5000, x.rn): (x.rid, x.dist) for x in found}
+            assert len(found) == len(asked) * k == len(got)
+            for i in range(len(asked)):
+                for n, j in enumerate(sorted(range(len(refs)), key=lambda j: (round(d[i, j], 9), j))[:k], 1):
+                    assert got[i, n][1] == pytest.approx(d[i, j], abs=1e-9)
+            plain = {(x.qid - 5000, x.rn): x.rid for x in K.neighbours(q, r, k, p).collect()}
+            assert {key: v[0] for key, v in got.items()} == plain
+    cells, _ = K.cells_of(r, 2, pivots=16)
+    near = K.visited(frame(asked[:80], 0).select("id", "vec"), cells, 5, 2).select(F.avg(F.size("cells"))).head()[0]
+    assert (cells.count > 0).sum() > 8 and near < 0.35 * (cells.count > 0).sum()
+    few = K.pivot_neighbours(q, r.limit(3), 5, 2).groupBy("qid").count().collect()
+    assert {x["count"] for x in few} == {3}
