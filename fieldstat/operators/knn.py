@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -376,12 +377,14 @@ def vote(nb: DataFrame, k: int, kernel: str, levels: Sequence[str] | None = None
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, p: float = 2, kernel: str = "rectangular",
                 *, id_col: str = "id", vec: str = "vec", label: str = "label",
-                levels: Sequence[str] | None = None, scale: bool = True, block: int = 1024) -> DataFrame:
-    """Standardise both sides with train statistics (K3), find k+1 neighbours, vote.
-    Returns test rows' id, true label, prediction and vote shares."""
+                levels: Sequence[str] | None = None, scale: bool = True, block: int = 1024,
+                pivots: int | None = None) -> DataFrame:
+    """Standardise both sides with train statistics (K3), find k+1 neighbours (by cells of ``pivots``
+    references, if given; for data with clusters), vote. Returns test rows' id, true label, prediction and vote shares."""
     tr = scale_with(train, train, vec) if scale else train
     te = scale_with(train, test, vec) if scale else test
-    nb = neighbours(te, tr, k + 1, p, id_col=id_col, vec=vec, label=label, block=block)
+    find = partial(pivot_neighbours, pivots=pivots) if pivots else neighbours
+    nb = find(te, tr, k + 1, p, id_col=id_col, vec=vec, label=label, block=block)
     v = vote(nb, k, kernel, levels)
     return (test.select(F.col(id_col).cast("long").alias("qid"), F.col(label).cast("string").alias("label"))
                 .join(v.drop("g"), "qid"))

@@ -7,9 +7,10 @@ aggregate), so the input size only affects one partial-aggregated pass.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -124,3 +125,51 @@ def accuracy_interval_cols(acc, n, z: float = 1.959963984540054):
     centre = (acc + z * z / (2 * n)) / den
     half = z * F.sqrt(acc * (1 - acc) / n + z * z / (4 * n * n)) / den
     return (centre - half).alias("acc_lower"), (centre + half).alias("acc_upper")
+
+
+def _log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function for x > 0: Stirling's series ten places above x, and back."""
+    y = x + 10
+    series = 1 / (12 * y) - 1 / (360 * F.pow(y, 3)) + 1 / (1260 * F.pow(y, 5)) - 1 / (1680 * F.pow(y, 7))
+    above = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series
+    return above - sum((F.log(x + i) for i in range(1, 10)), F.log(x))
+
+
+def _beta_fraction(a: Column, b: Column, z: Column) -> Column:
+    """Regularised incomplete beta function where z < (a + 1) / (a + b + 2): its continued fraction from the inside out."""
+    depth = (F.lit(50) + F.ceil(8 * F.sqrt(F.greatest(a, b)))).cast("int")
+
+    def outward(f: Column, i: Column) -> Column:
+        m = F.floor(i / 2)
+        even = m * (b - m) * z / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * z / ((a + 2 * m) * (a + 2 * m + 1))
+        return 1 + F.when(i % 2 == 0, even).otherwise(odd) / f
+
+    front = F.exp(a * F.log(z) + b * F.log(1 - z) + _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)) / a
+    return front / F.aggregate(F.sequence(depth, F.lit(1)), F.lit(1.0), outward)
+
+
+def beta_cdf(a: Column, b: Column, z: Column) -> Column:
+    """Regularised incomplete beta function for 0 < z < 1."""
+    return F.when(z < (a + 1) / (a + b + 2), _beta_fraction(a, b, z)).otherwise(1 - _beta_fraction(b, a, 1 - z))
+
+
+def beta_quantile(p: float, a: Column, b: Column, steps: int = 52) -> Column:
+    """Its inverse in z, by bisection."""
+    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = (acc["lo"] + acc["hi"]) / 2
+        low = beta_cdf(a, b, mid) < p
+        return F.struct(F.when(low, mid).otherwise(acc["lo"]).alias("lo"), F.when(low, acc["hi"]).otherwise(mid).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: (acc["lo"] + acc["hi"]) / 2)
+
+
+def binomial_interval_cols(hits: Column, n: Column, level: float = 0.95) -> tuple[Column, Column]:
+    """M7: the exact (Clopper-Pearson) interval of a share ``hits / n`` as column expressions (for result tables)."""
+    x, m = hits.cast("double"), n.cast("double")
+    tail = (1 - level) / 2
+    lower = F.when(x <= 0, F.lit(0.0)).otherwise(beta_quantile(tail, x, m - x + 1))
+    upper = F.when(x >= m, F.lit(1.0)).otherwise(beta_quantile(1 - tail, x + 1, m - x))
+    return lower, upper

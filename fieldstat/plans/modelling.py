@@ -509,6 +509,18 @@ def q_knn_kernels(spark, sf_dir):
     return out
 
 
+@query("knn_pivots", "WITH " + SPLIT_CTE.strip() + """,
+d AS (SELECT q.vec_id AS qid, r.vec_id AS rid, sqrt(SUM((q.z - r.z) * (q.z - r.z))) AS dist
+      FROM z q JOIN z r ON q.dim = r.dim AND NOT q.is_train AND r.is_train GROUP BY q.vec_id, r.vec_id),
+nb AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY qid ORDER BY dist, rid) AS INTEGER) AS rn FROM d)
+SELECT qid, rn, rid, ROUND(dist, 6) AS dist FROM nb WHERE rn <= 5""")
+def q_knn_pivots(spark, sf_dir):
+    """The five nearest (Euclidean) of every test row, by pivot cells."""
+    tr, te = split(spark, sf_dir)
+    nb = K.pivot_neighbours(K.scale_with(tr, te), K.scale_with(tr, tr), 5, 2)
+    return nb.select("qid", "rn", "rid", F.round("dist", 6).alias("dist"))
+
+
 # ---------------------------------------------------------------- Spark ML (rows only)
 
 def wide(spark, sf_dir):
@@ -780,3 +792,26 @@ def q_accuracy_interval(spark, sf_dir):
     lo, hi = M.accuracy_interval_cols(F.col("acc"), F.col("n"), _Z)
     return a.select(F.round("acc", 4).alias("accuracy"), F.round(lo, 4).alias("acc_lower"),
                     F.round(hi, 4).alias("acc_upper"), "n")
+
+
+def _tail_sql(first: str, last: str, share: str) -> str:
+    """Probability of ``first`` to ``last`` hits among n under a share."""
+    return (f"list_sum(list_transform(range({first}, {last} + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) "
+            f"+ k * ln({share}) + (n - k) * ln(1 - {share}))))")
+
+
+@query("accuracy_exact", "WITH RECURSIVE " + KNN_CTE.strip() + f""",
+a AS (SELECT CAST(SUM(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS BIGINT) AS x, COUNT(*) AS n FROM res),
+it AS (SELECT 0 AS i, x, n, CAST(0 AS DOUBLE) AS l1, CAST(1 AS DOUBLE) AS h1, CAST(0 AS DOUBLE) AS l2, CAST(1 AS DOUBLE) AS h2 FROM a
+       UNION ALL
+       SELECT i + 1, x, n, CASE WHEN t1 < 0.025 THEN m1 ELSE l1 END, CASE WHEN t1 < 0.025 THEN h1 ELSE m1 END,
+              CASE WHEN t2 > 0.025 THEN m2 ELSE l2 END, CASE WHEN t2 > 0.025 THEN h2 ELSE m2 END
+       FROM (SELECT *, {_tail_sql('x', 'n', 'm1')} AS t1, {_tail_sql('0', 'x', 'm2')} AS t2
+             FROM (SELECT *, (l1 + h1) / 2 AS m1, (l2 + h2) / 2 AS m2 FROM it WHERE i < 52)))
+SELECT ROUND(x / n, 4) AS accuracy, CASE WHEN x = 0 THEN 0 ELSE ROUND(l1, 4) END AS acc_lower,
+       CASE WHEN x = n THEN 1 ELSE ROUND(h2, 4) END AS acc_upper, n FROM it WHERE i = 52""")
+def q_accuracy_exact(spark, sf_dir):
+    """M7: accuracy of the k-NN predictions with its exact binomial 95 % interval."""
+    a = knn_result(spark, sf_dir).agg(F.sum(F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)).alias("x"), F.count("*").alias("n"))
+    lo, hi = M.binomial_interval_cols(F.col("x"), F.col("n"))
+    return a.select(F.round(F.col("x") / F.col("n"), 4).alias("accuracy"), F.round(lo, 4).alias("acc_lower"), F.round(hi, 4).alias("acc_upper"), "n")

@@ -223,5 +223,7 @@ def test_pivots_skip_cells_and_lose_nothing(spark):
     cells, _ = K.cells_of(r, 2, pivots=16)
     near = K.visited(frame(asked[:80], 0).select("id", "vec"), cells, 5, 2).select(F.avg(F.size("cells"))).head()[0]
     assert (cells.count > 0).sum() > 8 and near < 0.35 * (cells.count > 0).sum()
+    one, two = (K.knn_predict(r, q, 5, 2, block=100, **more).select("qid", "prediction").collect() for more in ({}, {"pivots": 16}))
+    assert sorted(one) == sorted(two)
     few = K.pivot_neighbours(q, r.limit(3), 5, 2).groupBy("qid").count().collect()
     assert {x["count"] for x in few} == {3}

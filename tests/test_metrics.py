@@ -43,3 +43,22 @@ def test_auc_perfect_and_random(spark):
     assert M.multiclass_auc(df, "label", {"a": "pa", "b": "pb"}).first().auc == 1.0
     tied = spark.createDataFrame([("a", 0.5, 0.5), ("b", 0.5, 0.5)], "label string, pa double, pb double")
     assert M.multiclass_auc(tied, "label", {"a": "pa", "b": "pb"}).first().auc == 0.5
+
+
+def test_exact_binomial_interval(spark):
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    from fieldstat.operators import metrics as M
+    rows = [(312, 342), (322, 342), (320, 342), (0, 7), (7, 7), (1, 1000), (5000, 10_000), (3, 9)]
+    d = spark.createDataFrame(rows, "x long, n long")
+    lo, hi = M.binomial_interval_cols(F.col("x"), F.col("n"))
+    got = {(r.x, r.n): (r.lo, r.hi) for r in d.select("x", "n", lo.alias("lo"), hi.alias("hi")).collect()}
+    assert [tuple(round(v, 3) for v in got[k]) for k in rows[:3]] == [(0.877, 0.940), (0.911, 0.964), (0.904, 0.959)]
+    assert got[0, 7][0] == 0.0 and got[7, 7][1] == 1.0
+    for x, n in rows[:3] + [(3, 9)]:
+        low, high = got[x, n]
+        assert abs(sum(comb(n, k) * low ** k * (1 - low) ** (n - k) for k in range(x, n + 1)) - 0.025) < 1e-9
+        assert abs(sum(comb(n, k) * high ** k * (1 - high) ** (n - k) for k in range(x + 1)) - 0.025) < 1e-9
+    assert got[5000, 10_000][0] < 0.4902 + 1e-4 and abs(sum(got[5000, 10_000]) - 1) < 1e-9
