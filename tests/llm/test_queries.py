@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -26,7 +27,14 @@ def test_oracle(spark, name):
     got = llm_queries()[name](spark, SF).toPandas()
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
-    tuples = lambda p: sorted(p[cols].itertuples(index=False, name=None))
+
+    def plain(v):
+        return None if v is None or pd.isna(v) else int(v) if isinstance(v, float) and v.is_integer() else v
+
+    def tuples(p):
+        return sorted((tuple(map(plain, r)) for r in p[cols].itertuples(index=False, name=None)),
+                      key=lambda r: [(v is None, v if v is not None else 0) for v in r])
+
     assert tuples(got) == tuples(want)
 
 
