@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from fieldstat.llm import textkit as tk
 from fieldstat.llm.tables import salted_join, stored
-from fieldstat.operators.ranking import running_total
 
 K = 5
 SIMILARITY = 0.8
@@ -284,7 +283,10 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     able = rows.where(F.col("id").isNotNull() & F.col("text").rlike(WORD))
     prints = stored(able.mapInArrow(_bands, "id long, f1 long, f2 long, keys array<long>"), "near-keys")
     groups = stored(prints.groupBy("f1", "f2").agg(F.min("id").alias("copy_of"), F.count("*").alias("n")), "near-copies")
-    groups = stored(running_total(groups, ["copy_of", "f1", "f2"], out="node"), "near-nodes")
+    # Ranges are in order and sorted, so the numbers rise with copy_of; writing fixes them.
+    order = ["copy_of", "f1", "f2"]
+    groups = groups.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id())
+    groups = stored(groups, "near-nodes")
     key = ["f1", "f2", "id"]
     nodes = groups.select("f1", "f2", F.col("copy_of").alias("id"), "node")
     reps = (prints.hint("merge").join(nodes, key).select(F.col("node").alias("id"), "f1", "keys").dropDuplicates(["id"]))
