@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldstat.operators.knn import _powers, _sides, block_tiles
+from fieldstat.operators.knn import QUERIES, STRIP, _powers, _sides, block_tiles
 
 
 def _dim_sums(df: DataFrame, cluster: str, vec: str) -> DataFrame:
@@ -85,28 +85,60 @@ def silhouette_sq_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec"
     return x.select(id_col, cluster, s.alias("silhouette"))
 
 
+NEAR = 1e-4              # squared distances below this share of the squared lengths are summed up anew
+
+
+def _distances(A: np.ndarray, B: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all pairs: |a|^2 + |b|^2 - 2 ab as a matrix product; the few pairs that are so
+    near that this would cancel are summed by their differences."""
+    aa, bb = np.einsum("ij,ij->i", A, A), np.einsum("ij,ij->i", B, B)
+    size = aa[:, None] + bb
+    if not np.isfinite(size).all():
+        return np.sqrt(_powers(A, B, 2))
+    d = size - 2 * (A @ B.T)
+    i, j = np.nonzero(d < NEAR * size)
+    for at in range(0, len(i), STRIP // 64):
+        k, m = i[at:at + STRIP // 64], j[at:at + STRIP // 64]
+        diff = A[k] - B[m]
+        d[k, m] = np.einsum("ij,ij->i", diff, diff)
+    return np.sqrt(d, out=d)
+
+
+def _sums(ids: np.ndarray, A: np.ndarray, B: np.ndarray, cb: np.ndarray) -> pd.DataFrame:
+    """Of every row of A the sum of the distances to the rows of each cluster of B."""
+    names, at = np.unique(cb.astype(str), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    B, n = B[order], np.bincount(at)
+    start = np.cumsum(n) - n
+    step = max(1, STRIP // len(B))
+    sums = np.concatenate([np.add.reduceat(_distances(A[i:i + step], B), start, axis=1) for i in range(0, len(A), step)])
+    return pd.DataFrame({"id": np.repeat(ids, len(names)), "c": np.tile(names, len(ids)).astype(object), "dsum": sums.ravel(),
+                         "cnt": np.tile(n, len(ids)).astype(np.int64)})
+
+
 def _sil_tile(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Sums of a tile both ways; a tile of one block with itself has them one way."""
     sides = _sides(pdf)
     if sides is None:
         return pd.DataFrame({"id": [], "c": [], "dsum": [], "cnt": []})
-    ids, A, _, B, cb = sides
-    d = np.sqrt(_powers(A, B, 2))
-    out = []
-    for lab in np.unique(cb):
-        m = cb == lab
-        out.append(pd.DataFrame({"id": ids, "c": str(lab), "dsum": d[:, m].sum(1), "cnt": np.int64(m.sum())}))
-    return pd.concat(out, ignore_index=True)
+    ids, A, other, B, cb = sides
+    shift = B.mean(axis=0)
+    A, B = (A - shift, B - shift) if np.isfinite(shift).all() else (A, B)
+    out = _sums(ids, A, B, cb)
+    if pdf["qb"].iloc[0] == pdf["rb"].iloc[0]:
+        return out
+    ca = pdf.loc[pdf["_side"] == 0, "_label"].to_numpy()
+    return pd.concat([out, _sums(other, B, A, ca)], ignore_index=True)
 
 
 def silhouette_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec", id_col: str = "id",
-                    block: int = 1024) -> DataFrame:
+                    block: int = QUERIES) -> DataFrame:
     """N7 (plain Euclidean): a(i) = mean distance to the rest of its cluster, b(i) = the
     smallest mean distance to another cluster; s = (b - a) / max(a, b), 0 for singletons.
-    Distance sums per (row, cluster) come from block tiles; the exact O(n²) work runs in
-    numpy inside tasks and only n·k partial sums per tile leave a task."""
+    Distance sums per (row, cluster) come from block tiles, each pair of blocks once; the exact
+    O(n²) work runs as matrix products inside tasks and only n·k partial sums per tile leave a task."""
     src = df.select(F.col(id_col).alias("id"), F.col(vec).alias("vec"), F.col(cluster).cast("string").alias("cl"))
-    t = block_tiles(src, src, _sil_tile, "id long, c string, dsum double, cnt long",
-                    id_col="id", vec="vec", label="cl", block=block)
+    t = block_tiles(src, _sil_tile, "id long, c string, dsum double, cnt long", label="cl", block=block)
     per = t.groupBy("id", "c").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     j = per.join(src.select("id", "cl"), "id")
     g = j.groupBy("id", "cl").agg(
