@@ -104,31 +104,41 @@ def _distances(A: np.ndarray, B: np.ndarray) -> np.ndarray:
     return np.sqrt(d, out=d)
 
 
-def _sums(ids: np.ndarray, A: np.ndarray, B: np.ndarray, cb: np.ndarray) -> pd.DataFrame:
-    """Of every row of A the sum of the distances to the rows of each cluster of B."""
-    names, at = np.unique(cb.astype(str), return_inverse=True)
+def _by_cluster(ids: np.ndarray, X: np.ndarray, c: np.ndarray):
+    """Rows in the order of their cluster: ids, vectors, numbers of the clusters, the clusters' names and sizes."""
+    names, at = np.unique(c.astype(str), return_inverse=True)
     order = np.argsort(at, kind="stable")
-    B, n = B[order], np.bincount(at)
-    start = np.cumsum(n) - n
-    step = max(1, STRIP // len(B))
-    sums = np.concatenate([np.add.reduceat(_distances(A[i:i + step], B), start, axis=1) for i in range(0, len(A), step)])
+    return ids[order], X[order], at[order], names, np.bincount(at)
+
+
+def _sum_rows(ids: np.ndarray, sums: np.ndarray, names: np.ndarray, n: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"id": np.repeat(ids, len(names)), "c": np.tile(names, len(ids)).astype(object), "dsum": sums.ravel(),
                          "cnt": np.tile(n, len(ids)).astype(np.int64)})
 
 
 def _sil_tile(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sums of a tile both ways; a tile of one block with itself has them one way."""
+    """Of every row of either side the sum of its distances to each cluster of the other; a tile of one block with
+    itself has them one way."""
     sides = _sides(pdf)
     if sides is None:
         return pd.DataFrame({"id": [], "c": [], "dsum": [], "cnt": []})
     ids, A, other, B, cb = sides
     shift = B.mean(axis=0)
     A, B = (A - shift, B - shift) if np.isfinite(shift).all() else (A, B)
-    out = _sums(ids, A, B, cb)
+    ids, A, at_a, names_a, n_a = _by_cluster(ids, A, pdf.loc[pdf["_side"] == 0, "_label"].to_numpy())
+    other, B, _, names_b, n_b = _by_cluster(other, B, cb)
+    start = np.cumsum(n_b) - n_b
+    rows, cols = np.zeros((len(A), len(names_b))), np.zeros((len(names_a), len(B)))
+    step = max(1, STRIP // len(B))
+    for i in range(0, len(A), step):
+        d, part = _distances(A[i:i + step], B), at_a[i:i + step]
+        rows[i:i + step] = np.add.reduceat(d, start, axis=1)
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        cols[part[first]] += np.add.reduceat(d, first, axis=0)
+    out = _sum_rows(ids, rows, names_b, n_b)
     if pdf["qb"].iloc[0] == pdf["rb"].iloc[0]:
         return out
-    ca = pdf.loc[pdf["_side"] == 0, "_label"].to_numpy()
-    return pd.concat([out, _sums(other, B, A, ca)], ignore_index=True)
+    return pd.concat([out, _sum_rows(other, cols.T, names_a, n_a)], ignore_index=True)
 
 
 def silhouette_rows(df: DataFrame, cluster: str = "cluster", vec: str = "vec", id_col: str = "id",
