@@ -219,6 +219,36 @@ def test_hot_passage_over_many_partitions(spark):
     assert len({find(i) for i in root}) == 1 and len(got) < 400 * 12
 
 
+def _linked(got):
+    return {frozenset((r.doc_id, r.other_id)) for r in got if r.kind == "passage"}
+
+
+def test_passage_whose_seeds_have_other_first_and_previous_texts(spark):
+    one, two = prose(30), prose(30)
+    rows = [(i, f"{prose(40)} {part} {prose(40)}") for i, part in
+            ((1, one), (7, one), (2, two), (8, two), (5, f"{one} {two}"), (9, f"{one} {two}"))]
+    assert frozenset((5, 9)) in _linked(passages.repeated_passages(docs(spark, rows)).collect())
+
+
+def test_passage_beside_earlier_places_of_its_seeds(spark):
+    one, two = prose(30), prose(30)
+    rows = [(1, f"{one} {prose(50)} {two} {prose(50)} {one} {two} {prose(20)}"), (2, f"{prose(40)} {one} {two} {prose(40)}")]
+    assert any(r.end - r.start >= 60 for r in passages.repeated_passages(docs(spark, rows)).collect())
+
+
+def test_passages_among_texts_that_share_only_phrases(spark, monkeypatch):
+    monkeypatch.setattr(passages, "TILE", 7)
+    parts = [prose(20) for _ in range(4)]
+    rows = [(i, f"{prose(30)} {parts[i % 4]} {prose(30)}") for i in range(60)]
+    rows += [(100 + i, f"{prose(30)} {' '.join(parts[:3])} {prose(30)}") for i in (0, 3)]
+    rows += [(100 + i, f"{prose(30)} {' '.join(parts[1:])} {prose(30)}") for i in (1, 2)]
+    reached = {100}
+    linked = _linked(passages.repeated_passages(docs(spark, rows)).collect())
+    for _ in range(4):
+        reached |= {x for e in linked for x in e if e & reached}
+    assert reached == {100, 101, 102, 103}
+
+
 def test_chain_scores():
     x = np.array([0, 4, 8, 50, 60, 100])
     y = np.array([10, 14, 18, 200, 75, 115])
