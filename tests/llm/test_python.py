@@ -249,6 +249,33 @@ def test_passages_among_texts_that_share_only_phrases(spark, monkeypatch):
     assert reached == {100, 101, 102, 103}
 
 
+def _component(linked, start):
+    reached, front = {start}, {start}
+    while front:
+        front = {x for e in linked for x in e if e & reached} - reached
+        reached |= front
+    return reached
+
+
+def test_texts_of_one_repeated_word_are_joined_by_few_pairs(spark):
+    rows = [(i, f"{prose(30)} {'the ' * (42 + i % 7)} {prose(30)}") for i in range(60)]
+    rows += [(100 + i, f"{prose(30)} {'the ' * 30} {prose(30)}") for i in range(20)]
+    linked = _linked(passages.repeated_passages(docs(spark, rows)).collect())
+    assert _component(linked, 0) >= set(range(60))
+    assert len(linked) <= 60 * 9
+
+
+def test_equal_stretch_among_many_texts_that_share_a_phrase(spark, monkeypatch):
+    monkeypatch.setattr(passages, "TILE", 1)
+    phrase = prose(30)
+    rows = [(i, f"{prose(40)} {phrase} {prose(40)}") for i in range(40)]
+    ends = [prose(15) for _ in range(3)]
+    rows += [(100 + 10 * i + j, f"{prose(40)} {phrase} {end} {prose(40)}") for i, end in enumerate(ends) for j in range(6)]
+    linked = _linked(passages.repeated_passages(docs(spark, rows)).collect())
+    for i in range(3):
+        assert _component(linked, 100 + 10 * i) >= {100 + 10 * i + j for j in range(6)}
+
+
 def test_chain_scores():
     x = np.array([0, 4, 8, 50, 60, 100])
     y = np.array([10, 14, 18, 200, 75, 115])
