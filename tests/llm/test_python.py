@@ -276,6 +276,18 @@ def test_equal_stretch_among_many_texts_that_share_a_phrase(spark, monkeypatch):
         assert _component(linked, 100 + 10 * i) >= {100 + 10 * i + j for j in range(6)}
 
 
+def test_edited_passages_among_many_texts_that_share_a_phrase(spark, monkeypatch):
+    monkeypatch.setattr(passages, "TILE", 1)
+    monkeypatch.setattr(passages, "HALF", 5)
+    phrase = prose(30)
+    rows = [(i, f"{prose(40)} {phrase} {prose(40)}") for i in range(30)]
+    ends = [(prose(5), prose(9)) for _ in range(4)]
+    rows += [(100 + 10 * i + j, f"{prose(40)} {phrase} {one} edit{i}{j} {two} {prose(40)}") for i, (one, two) in enumerate(ends) for j in range(5)]
+    linked = _linked(passages.repeated_passages(docs(spark, rows)).collect())
+    for i in range(4):
+        assert _component(linked, 100 + 10 * i) == {100 + 10 * i + j for j in range(5)}
+
+
 def test_chain_scores():
     x = np.array([0, 4, 8, 50, 60, 100])
     y = np.array([10, 14, 18, 200, 75, 115])
