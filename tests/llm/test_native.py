@@ -223,6 +223,16 @@ def test_decontam_blocks(spark, monkeypatch):
     assert got == {(i, i) for i in range(0, 20, 2)}
 
 
+def test_decontam_broadcasts_a_block_at_a_time(spark, monkeypatch):
+    rows, items = [(i, numbered(100 * i, 40)) for i in range(6)], [(i, numbered(100 * i + 10, 16)) for i in range(0, 6, 2)]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    want = {tuple(r) for r in decontam.overlaps(docs(spark, rows), items).collect()}
+    monkeypatch.setattr(decontam, "BLOCK_WINDOWS", 6)
+    found = decontam.overlaps(docs(spark, rows), items)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == want and len(want) == 3
+
+
 def test_query_digest(spark, tmp_path):
     from fieldstat.llm.queries import op10_line_dedup
     rows = [(i, "a line that is long enough\nx") for i in range(3)] + [(9, None)]
