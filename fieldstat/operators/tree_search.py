@@ -12,7 +12,8 @@ each node and are not nested; their settings are fitted one by one.
 
 The fits of all folds come from one pool, the long ones of a fold first. A fold's
 prepared rows are kept from its first fit to its last, so only a few folds are kept
-at a time. Only a count for each (setting, class, predicted class) reaches the driver.
+at a time. Every running fit keeps the rows in a form of its own, so fewer fits run at once over
+many rows, where one of them fills the tasks. Only a count for each (setting, class, predicted class) reaches the driver.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from fieldstat.session import shared_dir
 DEPTH, GAIN = "maxDepth", "minInfoGain"
 NESTED = (DEPTH, GAIN)
 ROWS = 4096              # held-out rows that walk a tree at once
+KEPT = 100_000           # rows a core that all running fits keep, about
 
 
 @dataclass
@@ -171,6 +173,11 @@ class _Fold:
                 self._rows = None
 
 
+def fits_at_once(rows: int, cores: int) -> int:
+    """How many fits run at once over so many rows: at least one, whose rows Spark spills if need be."""
+    return max(1, min(16, max(4, cores), KEPT * cores // max(1, rows)))
+
+
 def cross_validate(train: DataFrame, stages: Callable[[], list], make: Callable[..., object], sets: Sequence[Mapping], *,
                    fold_col: str = "fold", nested: Sequence[str] = (), parallelism: int | None = None,
                    sized: Callable[[DataFrame], DataFrame] = lambda d: d) -> list[list[float]]:
@@ -178,7 +185,7 @@ def cross_validate(train: DataFrame, stages: Callable[[], list], make: Callable[
     names = sorted(r[0] for r in train.select(fold_col).distinct().collect())
     models = fits(make, sets, nested)
     if parallelism is None:
-        parallelism = min(16, max(4, train.sparkSession.sparkContext.defaultParallelism))
+        parallelism = fits_at_once(train.count(), train.sparkSession.sparkContext.defaultParallelism)
     score = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="f1")
 
     def prepare(name) -> tuple[DataFrame, DataFrame]:

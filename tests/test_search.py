@@ -50,6 +50,16 @@ def test_walk_of_a_known_tree():
     assert got.tolist() == [[0, 0, 0], [0, 0, 2], [0, 1, 2], [0, 0, 2], [0, 0, 0]]
 
 
+def test_fewer_fits_at_once_over_many_rows(noisy, monkeypatch):
+    assert [TS.fits_at_once(n, 12) for n in (0, 1_000, 64_000, 430_000, 5_000_000)] == [12, 12, 12, 2, 1]
+    monkeypatch.setattr(TS, "KEPT", 0)
+    pools = []
+    monkeypatch.setattr(TS, "ThreadPool", lambda n, pool=TS.ThreadPool: pools.append(n) or pool(n))
+    sets = [{"maxDepth": 1}, {"maxDepth": 2, "impurity": "entropy"}]
+    few = ML.cross_validate(noisy, COLS, ML.tree, sets, nested=TS.NESTED)
+    assert pools == [1] and few == ML.cross_validate(noisy, COLS, ML.tree, sets, nested=TS.NESTED, parallelism=6)
+
+
 def test_scores_are_kept_under_a_name(noisy, monkeypatch):
     sets = [{"maxDepth": 2}, {"maxDepth": 4}]
     one = ML.cross_validate(noisy, COLS, ML.tree, sets, nested=TS.NESTED, memo="test state 1")
