@@ -224,7 +224,7 @@ def test_decontam_blocks(spark, monkeypatch):
 
 
 def test_decontam_broadcasts_a_block_at_a_time(spark, monkeypatch):
-    rows, items = [(i, numbered(100 * i, 40)) for i in range(6)], [(i, numbered(100 * i + 10, 16)) for i in range(0, 6, 2)]
+    rows, items = [(i, numbered(40, 100 * i)) for i in range(6)], [(i, numbered(16, 100 * i + 10)) for i in range(0, 6, 2)]
     items = spark.createDataFrame(items, "item_id long, text string")
     want = {tuple(r) for r in decontam.overlaps(docs(spark, rows), items).collect()}
     monkeypatch.setattr(decontam, "BLOCK_WINDOWS", 6)
